@@ -16,6 +16,7 @@ from tablewarden.catalog.inputs import (
     sql_strip,
     table,
 )
+from tablewarden.catalog.registry import Register
 from tablewarden.functions.binning import bin_right_closed, merge_equal_edges
 from tablewarden.functions.numbers import binary_label, parse_number, safe_float
 from tablewarden.functions.text import norm_category, row_id
@@ -24,28 +25,20 @@ from tablewarden.operators.order_stats import exact_quantiles
 from tablewarden.session import shared_folder
 from tablewarden.sources.tables import read_clean, write_clean
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(sql: str | None = None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return register
+register = Register()
+query = register.query
 
 
 # --- scalar functions ----------------------------------------------------------------------
 
 
-@query(f"with {MESSY_ORDERS} select o_orderkey, {sql_norm('priority')} as category from messy")
+@query("norm_category", f"with {MESSY_ORDERS} select o_orderkey, {sql_norm('priority')} as category from messy")
 def norm_category_(spark, sf):
     return messy_orders(spark, sf).select("o_orderkey", norm_category(F.col("priority")).alias("category"))
 
 
 @query(
+    "safe_numeric",
     f"""with {MESSY_ORDERS} select o_orderkey, price_text,
     case when regexp_full_match(trim(price_text), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)') then try_cast(price_text as double) end as price
     from messy"""
@@ -57,6 +50,7 @@ def safe_numeric(spark, sf):
 
 
 @query(
+    "label_encode",
     f"""with {MESSY_ORDERS} select o_orderkey, case when label = 'F' then 1 else 0 end as by_value,
     cast(trunc(coalesce(try_cast(nullif(price_text, '12d') as double), 0) / 1000) as integer) as by_number
     from messy"""
@@ -71,6 +65,7 @@ def label_encode(spark, sf):
 
 
 @query(
+    "safe_float_round",
     """select l_orderkey, l_linenumber, l_partkey,
     case when l_discount = 0 then null else round(l_extendedprice / l_discount, 3) end as ratio
     from lineitem"""
@@ -89,6 +84,7 @@ DURATION_LABELS = ["0-6m", "6-12m", "12-24m", "24-48m", "48m+"]
 
 
 @query(
+    "bin_fixed",
     """select p_partkey, p_size, case when p_size < 0 then null when p_size <= 6 then '0-6m'
     when p_size <= 12 then '6-12m' when p_size <= 24 then '12-24m' when p_size <= 48 then '24-48m'
     when p_size <= 1000 then '48m+' end as size_bin from part"""
@@ -102,6 +98,7 @@ def bin_fixed(spark, sf):
 
 
 @query(
+    "bin_quantile",
     """with q as (select quantile_cont(p_retailprice, 0.33) as q1, quantile_cont(p_retailprice, 0.66) as q2 from part)
     select p_partkey, case when p_retailprice <= q1 then 'q1' when p_retailprice <= q2 then 'q2' else 'q3' end as price_bin
     from part, q"""
@@ -114,6 +111,7 @@ def bin_quantile(spark, sf):
 
 
 @query(
+    "row_id",
     """select l_orderkey, l_linenumber,
     coalesce(cast(l_orderkey as varchar), '__MISSING__') || '||' ||
     coalesce(case when l_returnflag <> 'R' then l_returnflag end, '__MISSING__') as row_id from lineitem"""
@@ -128,13 +126,14 @@ def row_id_(spark, sf):
 # --- cleaning steps -------------------------------------------------------------------------
 
 
-@query(f"with {MESSY_ORDERS} select o_orderkey, label, priority from messy where label is not null")
+@query("drop_missing_label", f"with {MESSY_ORDERS} select o_orderkey, label, priority from messy where label is not null")
 def drop_missing_label(spark, sf):
     df = messy_orders(spark, sf).select("o_orderkey", "label", "priority")
     return cleaning.drop_missing_label(df, "label")
 
 
 @query(
+    "clean_strings",
     f"""with {MESSY_ORDERS} select o_orderkey, o_custkey, label, {sql_strip('priority')} as priority,
     trim(price_text) as price_text, o_totalprice from messy"""
 )
@@ -146,6 +145,7 @@ PRICE_SQL = "case when trim(price_text) in ('', '12d') then null else cast(price
 
 
 @query(
+    "clean_cast",
     f"""with {MESSY_ORDERS} select o_orderkey, {PRICE_SQL} as price_text,
     cast(trunc(o_totalprice) as bigint) as o_totalprice from messy"""
 )
@@ -168,22 +168,23 @@ def _fill_sql(fill: str) -> str:
     round(coalesce(tax, t), 6) as tax from lines, f"""
 
 
-@query(_fill_sql("median({})"))
+@query("clean_fill_median", _fill_sql("median({})"))
 def clean_fill_median(spark, sf):
     return _filled(spark, sf, "median")
 
 
-@query(_fill_sql("avg({})"))
+@query("clean_fill_mean", _fill_sql("avg({})"))
 def clean_fill_mean(spark, sf):
     return _filled(spark, sf, "mean")
 
 
-@query(_fill_sql("0.5 + 0 * min({})"))
+@query("clean_fill_const", _fill_sql("0.5 + 0 * min({})"))
 def clean_fill_const(spark, sf):
     return _filled(spark, sf, "0.5")
 
 
 @query(
+    "clean_impute_product",
     f"""with {LINES_WITH_GAPS} select l_orderkey, l_linenumber, l_partkey,
     round(coalesce(case when l_returnflag <> 'N' then l_extendedprice end, l_quantity * keep_rate), 4) as total from lines"""
 )
@@ -205,7 +206,7 @@ def _rare_sql(column: str) -> str:
     )
 
 
-@query(f"with {PARTS_WITH_GAPS} select p_partkey, {', '.join(_rare_sql(c) for c in RARE_COLUMNS)} from parts")
+@query("clean_rare", f"with {PARTS_WITH_GAPS} select p_partkey, {', '.join(_rare_sql(c) for c in RARE_COLUMNS)} from parts")
 def clean_rare(spark, sf):
     df = parts_with_gaps(spark, sf).select("p_partkey", *RARE_COLUMNS)
     return cleaning.bucket_rare(df, RARE_COLUMNS, min_freq=RARE_MIN)
@@ -222,7 +223,7 @@ def _rare_report_sql() -> str:
     from levels group by "column" """
 
 
-@query(_rare_report_sql())
+@query("clean_rare_report", _rare_report_sql())
 def clean_rare_report(spark, sf):
     return cleaning.rare_report(parts_with_gaps(spark, sf), RARE_COLUMNS, min_freq=RARE_MIN)
 
@@ -234,13 +235,14 @@ MAPPING_SQL = (
 )
 
 
-@query(f"select o_orderkey, o_orderstatus, {MAPPING_SQL} as o_orderpriority from orders")
+@query("clean_map", f"select o_orderkey, o_orderstatus, {MAPPING_SQL} as o_orderpriority from orders")
 def clean_map(spark, sf):
     df = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return cleaning.map_values(df, ["o_orderpriority", "o_orderstatus", "no_such_column"], MAPPING)
 
 
 @query(
+    "clean_map_report",
     """select 'o_orderpriority' as "column", count(*) filter (o_orderpriority in ('1-URGENT', '2-HIGH', '4-NOT SPECIFIED')) as n_affected from orders
     union all select 'o_orderstatus', count(*) filter (o_orderstatus in ('1-URGENT', '2-HIGH', '4-NOT SPECIFIED')) from orders"""
 )
@@ -286,12 +288,13 @@ CLEAN_SQL = f"""with {MESSY_ORDERS}, stripped as (
   from rare, fill"""
 
 
-@query(CLEAN_SQL)
+@query("clean_pipeline", CLEAN_SQL)
 def clean_pipeline(spark, sf):
     return _run(spark, sf).data.withColumn("price_text", F.round("price_text", 4))
 
 
 @query(
+    "clean_report",
     f"""with {MESSY_ORDERS}, stripped as (
       select label, {sql_strip('priority')} as priority, {PRICE_SQL} as price from messy),
     kept as (select * from stripped where label is not null),
@@ -325,13 +328,11 @@ def clean_report(spark, sf):
     return _run(spark, sf).report.select("step_no", "step", "column", "metric", F.round("value", 4).alias("value"))
 
 
-@query(CLEAN_SQL)
+@query("clean_roundtrip", CLEAN_SQL)
 def clean_roundtrip(spark, sf):
     """Write the clean table to the shared folder and read it back."""
     path = write_clean(clean_pipeline(spark, sf), shared_folder(spark, "clean"), run_id="roundtrip")
     return read_clean(spark, path)
 
 
-# names that would shadow the functions under test
-for _old, _new in (("norm_category_", "norm_category"), ("row_id_", "row_id")):
-    QUERIES[_new], ORACLE[_new] = QUERIES.pop(_old), ORACLE.pop(_old)
+QUERIES, ORACLE = register.queries, register.sql
