@@ -15,6 +15,8 @@ from tablewarden.operators import governance, reports
 from tablewarden.operators.hints import dedup_hints, flat_hints, invalid_hints
 
 from tablewarden.plans.batch_audit import STEPS, BatchRules, batch_reports
+from tablewarden.session import shared_folder
+from tablewarden.sources.reports import read_reports, write_reports
 
 register = Register()
 query = register.query
@@ -75,6 +77,13 @@ def faulty_reports(spark, sf) -> DataFrame:
     return kept.select("run_id", "stage", "name", planted.alias("payload"))
 
 
+def filed_reports(spark, sf) -> DataFrame:
+    """The faulty reports as the audits meet them: written to the reports table and read back."""
+    folder = shared_folder(spark, "reports")
+    write_reports(faulty_reports(spark, sf), folder)
+    return read_reports(spark, folder)
+
+
 # The same reports in SQL.  ``dow`` is 0 on Sunday; weekday faults as above.
 REPORTS = """o as (select strftime(o_orderdate, '%Y%m%d') as run_id, dayofweek(o_orderdate) as dow,
       case when o_totalprice >= 20000 then o_orderstatus end as label, * from orders),
@@ -359,7 +368,7 @@ ANCHORS = [*governance.ANCHORS, ("data_quality", "contract"), ("governance", "ma
     union all select run_id, 'clean_table_not_found', 'clean/' || run_id from f where n < 3""",
 )
 def lineage_audit(spark, sf):
-    all_reports = reports.parse(faulty_reports(spark, sf))
+    all_reports = filed_reports(spark, sf)
     sizes = table(spark, sf, "orders").groupBy(F.date_format("o_orderdate", "yyyyMMdd").alias("run_id")).count()
     written = sizes.filter(F.col("count") >= 3).select(F.concat(F.lit("clean/"), "run_id").alias("path"))
     return governance.lineage_audit(all_reports, anchors=ANCHORS, existing_paths=written)
@@ -389,7 +398,7 @@ REASONS = """gate as (
 
 @query("release_reasons", f"with {REPORTS}, {REASONS} select run_id, reason, rem as remediation from gate")
 def release_reasons(spark, sf):
-    found = governance.release_reasons(reports.parse(faulty_reports(spark, sf)), POLICY)
+    found = governance.release_reasons(filed_reports(spark, sf), POLICY)
     return found.select("run_id", "reason", "remediation")
 
 
@@ -400,7 +409,7 @@ def release_reasons(spark, sf):
     coalesce(array_to_string(rem, '|'), '') as remediation from f left join c using (run_id)""",
 )
 def release_gate(spark, sf):
-    decided = governance.release_gate(reports.parse(faulty_reports(spark, sf)), POLICY)
+    decided = governance.release_gate(filed_reports(spark, sf), POLICY)
     return decided.withColumns({c: F.array_join(c, "|") for c in ("reasons", "remediation")})
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tablewarden.functions.numbers import NUMBER_PATTERN, number_of, nulls_for_nan
 from tablewarden.functions.text import strip
 from tablewarden.operators.order_stats import exact_quantiles
+from tablewarden.session import literal_rows
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -421,7 +422,7 @@ def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) ->
     row("high_level", "cols_before", len(df.columns))
     row("high_level", "cols_after", len(cur.columns))
 
-    report = spark.createDataFrame(fixed, REPORT_SCHEMA)
+    report = literal_rows(spark, fixed, REPORT_SCHEMA)
     for frame in lazy:
         report = report.unionByName(frame)
     return CleaningResult(cur, report, steps_seen, dict(config))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.numbers import ratio
 from tablewarden.operators.findings import FAIL, SKIPPED, WARN, union_all
-from tablewarden.operators.hints import dedup_hints, flat_hints, normalised
-from tablewarden.operators.reports import Step, expected_reports, module_status
+from tablewarden.operators.hints import flat_hints, normalised
+from tablewarden.operators.reports import Step, module_status
 from tablewarden.operators.segments import examples
 
 # --- files --------------------------------------------------------------------------------
@@ -63,8 +63,6 @@ def manifest(
 
 def _previewed(rows: DataFrame, order: list, preview: int) -> DataFrame:
     """Number the (at most max_files) rows and mark those shown in the preview."""
-    from pyspark.sql import Window
-
     numbered = rows.withColumn("file_no", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
     return numbered.withColumn("in_preview", F.col("file_no") <= preview)
 
@@ -79,8 +77,6 @@ def inventory(
     max_pages: int = 5,
 ) -> DataFrame:
     """Newest files first, in pages; no content is read."""
-    from pyspark.sql import Window
-
     limit = min(max_files, page_size * max_pages)
     files = (
         _files(spark, folder, suffix)
@@ -144,48 +140,48 @@ def lineage_audit(
     several schema versions in one run, and clean tables that are not named or
     not found in ``existing_paths`` (a table with one ``path`` per row).
     """
-    runs = parsed if runs is None else runs
-    steps = [Step(s, n) for s, n in anchors]
     readable = parsed.filter(F.col("report").isNotNull())
     place = F.concat_ws(".", "stage", "name")
+    version = F.col("report.schema_version")
+    path = F.coalesce(*[F.get_json_object("payload", p) for p in CLEAN_TABLE_PATHS])
+    known = F.col("report").isNotNull()
+
+    # one row per run: which anchors are there, and the versions seen
+    per_run = parsed.groupBy("run_id").agg(
+        F.min(F.when(known, version)).alias("lo"),
+        F.max(F.when(known, version)).alias("hi"),
+        F.count_if(known & path.isNotNull()).alias("n_paths"),
+        *[
+            F.coalesce(F.bool_or(known & (F.col("stage") == s) & (F.col("name") == n)), F.lit(False)).alias(f"a{i}")
+            for i, (s, n) in enumerate(anchors)
+        ],
+    )
+    if runs is not None:
+        per_run = runs.select("run_id").distinct().join(per_run, "run_id", "left")
+
+    def broken(rule: str, subject: Column, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(rule).alias("rule"), subject.alias("subject")))
 
-    def rows(frame: DataFrame, rule: str, subject: Column) -> DataFrame:
-        return frame.select("run_id", F.lit(rule).alias("rule"), subject.alias("subject"))
+    def absent(i: int) -> Column:
+        return ~F.coalesce(F.col(f"a{i}"), F.lit(False))
 
+    rules = [broken("anchor_missing", F.lit(f"{s}.{n}"), absent(i)) for i, (s, n) in enumerate(anchors)]
+    span = F.concat_ws("..", F.col("lo").cast("string"), F.col("hi").cast("string"))
+    rules.append(broken("schema_version_mixed", span, F.col("lo") != F.col("hi")))
+    if clean_table_required:
+        rules.append(broken("clean_table_not_named", F.lit(""), F.coalesce("n_paths", F.lit(0)) == 0))
     out = [
-        rows(
-            expected_reports(runs, steps).join(
-                readable.select("run_id", "stage", "name"), ["run_id", "stage", "name"], "left_anti"
-            ),
-            "anchor_missing",
-            place,
-        ),
-        rows(
-            readable.filter(F.coalesce(F.col("report.run_id"), F.lit("")) != F.col("run_id")),
-            "run_id_mismatch",
-            F.concat_ws("=", place, F.coalesce("report.run_id", F.lit(""))),
+        per_run.select("run_id", F.explode(F.array_compact(F.array(*rules))).alias("_b")).select("run_id", "_b.*"),
+        readable.filter(F.coalesce(F.col("report.run_id"), F.lit("")) != F.col("run_id")).select(
+            "run_id",
+            F.lit("run_id_mismatch").alias("rule"),
+            F.concat_ws("=", place, F.coalesce("report.run_id", F.lit(""))).alias("subject"),
         ),
     ]
-    version = F.col("report.schema_version")
-    mixed = readable.groupBy("run_id").agg(F.min(version).alias("lo"), F.max(version).alias("hi"))
-    out.append(
-        rows(
-            mixed.filter(F.col("lo") != F.col("hi")),
-            "schema_version_mixed",
-            F.concat_ws("..", F.col("lo").cast("string"), F.col("hi").cast("string")),
-        )
-    )
-    named = (
-        readable.select("run_id", F.coalesce(*[F.get_json_object("payload", p) for p in CLEAN_TABLE_PATHS]).alias("path"))
-        .filter(F.col("path").isNotNull())
-        .distinct()
-    )
-    if clean_table_required:
-        unnamed = runs.select("run_id").distinct().join(named.select("run_id"), "run_id", "left_anti")
-        out.append(rows(unnamed, "clean_table_not_named", F.lit("")))
     if existing_paths is not None:
+        named = readable.select("run_id", path.alias("path")).filter(F.col("path").isNotNull()).distinct()
         lost = named.join(existing_paths.select("path"), "path", "left_anti")
-        out.append(rows(lost, "clean_table_not_found", F.col("path")))
+        out.append(lost.select("run_id", F.lit("clean_table_not_found").alias("rule"), F.col("path").alias("subject")))
     found = union_all(out)
     keyed = found.withColumn("_g", F.struct("run_id", "rule"))
     return examples(keyed, "_g", ["subject"], max_examples).drop("_g", "example_no")
@@ -212,46 +208,70 @@ class Policy:
         return [s for s in statuses if s not in drop]
 
 
-def release_reasons(parsed: DataFrame, policy: Policy, runs: DataFrame | None = None) -> DataFrame:
-    """Every reason against a release, one row each: required reports, steps, failures, hints."""
-    runs = parsed if runs is None else runs
-    place = F.concat_ws(".", "stage", "name")
-    state = parsed.select(
-        "run_id", "stage", "name", F.when(F.col("report").isNotNull(), module_status()).alias("status")
-    ).filter(F.col("status").isNotNull())
+REASON = "struct<layer: int, reason: string, remediation: string>"
 
-    def reason(frame: DataFrame, layer: int, kind: str, subject: Column, action: str) -> DataFrame:
-        return frame.select(
-            "run_id",
-            F.lit(layer).alias("layer"),
-            F.concat_ws(":", F.lit(kind), subject).alias("reason"),
-            F.lit(action).alias("remediation"),
-        )
 
-    def layer_of(asked: DataFrame, layer: int, allowed: Sequence[str], missing: str, wrong: str):
-        joined = asked.join(state, ["run_id", "stage", "name"], "left")
-        yield reason(joined.filter(F.col("status").isNull()), layer, missing, place, "run_step_and_file_report")
-        bad = joined.filter(~F.col("status").isin(list(allowed)))
-        yield reason(bad, layer, wrong, F.concat_ws(":", place, "status"), "fix_findings_and_rerun")
-
-    out = []
-    needed = [Step(s, n) for s, n in policy.required]
-    if needed:
-        out += layer_of(
-            expected_reports(runs, needed), 1, policy.allowed(policy.required_status), "missing_report", "report_status"
-        )
-    if policy.steps:
-        others = [s for s in policy.steps if (s.stage, s.name) not in set(policy.required)]
-        out += layer_of(
-            expected_reports(runs, others), 2, policy.allowed(policy.step_status), "missing_step", "step_status"
-        )
+def _run_reasons(parsed: DataFrame, policy: Policy, runs: DataFrame | None) -> DataFrame:
+    """One row per run with all reasons that follow from its statuses, as an array.
+
+    The policy names a fixed list of reports, so their statuses become columns
+    of one aggregate and no joins are needed.
+    """
+    status = F.when(F.col("report").isNotNull(), module_status())
+    place = F.concat_ws(".", "stage", "name")
+    state = parsed.select("run_id", place.alias("place"), status.alias("status"))
+    required = [f"{s}.{n}" for s, n in policy.required]
+    steps = [f"{s.stage}.{s.name}" for s in policy.steps if s.enabled and f"{s.stage}.{s.name}" not in required]
+    asked = [*required, *steps]
+    failed = F.when(F.col("status") == FAIL, F.col("place"))
+    per_run = state.groupBy("run_id").agg(
+        *[F.max(F.when(F.col("place") == p, F.col("status"))).alias(f"s{i}") for i, p in enumerate(asked)],
+        # a run files one report per place, so this set is as small as the set of steps
+        F.collect_set(failed).alias("_failed"),
+    )
+    if runs is not None:
+        per_run = runs.select("run_id").distinct().join(per_run, "run_id", "left")
+
+    def reason(layer: int, kind: str, subject: Column, action: str, when: Column) -> Column:
+        text = F.concat_ws(":", F.lit(kind), subject)
+        return F.when(when, F.struct(F.lit(layer), text, F.lit(action)).cast(REASON))
+
+    lines = []
+    for i, p in enumerate(asked):
+        s, must = F.col(f"s{i}"), p in required
+        layer, name = (1, "report") if must else (2, "step")
+        allowed = policy.allowed(policy.required_status if must else policy.step_status)
+        lines.append(reason(layer, f"missing_{name}", F.lit(p), "run_step_and_file_report", s.isNull()))
+        wrong = F.concat_ws(":", F.lit(p), s)
+        lines.append(reason(layer, f"{name}_status", wrong, "fix_findings_and_rerun", ~s.isin(allowed)))
+    none = F.array().cast(f"array<{REASON}>")
+    reasons = F.array_compact(F.array(*lines)) if lines else none
     if policy.block_on_fail:
-        out.append(reason(state.filter(F.col("status") == FAIL), 3, "failed", place, "fix_findings_and_rerun"))
+        failures = F.transform(
+            F.coalesce("_failed", F.array().cast("array<string>")),
+            lambda p: F.struct(F.lit(3), F.concat(F.lit("failed:"), p), F.lit("fix_findings_and_rerun")).cast(REASON),
+        )
+        reasons = F.concat(reasons, failures)
+    return per_run.select("run_id", reasons.alias("reasons"))
+
+
+def _hint_reasons(parsed: DataFrame, policy: Policy) -> DataFrame:
+    """One row per run and distinct blocking hint."""
+    hints = normalised(flat_hints(parsed.filter(F.col("report").isNotNull()), [], max_hints=None))
+    blocking = hints.filter(F.col("severity_signal").isin(list(policy.blocking_severities)))
+    return blocking.select(
+        "run_id", F.concat_ws(":", F.lit("hint"), "source_module", "code").alias("reason")
+    ).distinct()
+
+
+def release_reasons(parsed: DataFrame, policy: Policy, runs: DataFrame | None = None) -> DataFrame:
+    """Every reason against a release, one row each: required reports, steps, failures, hints."""
+    status = _run_reasons(parsed, policy, runs).select("run_id", F.explode("reasons").alias("_r"))
+    out = [status.select("run_id", "_r.*")]
     if policy.blocking_severities:
-        hints = normalised(flat_hints(parsed.filter(F.col("report").isNotNull()), [], max_hints=None))
-        hard = dedup_hints(hints.filter(F.col("severity_signal").isin(list(policy.blocking_severities))))
+        hints = _hint_reasons(parsed, policy)
         out.append(
-            reason(hard, 3, "hint", F.concat_ws(":", "source_module", "code"), "resolve_hint").distinct()
+            hints.select("run_id", F.lit(3).alias("layer"), "reason", F.lit("resolve_hint").alias("remediation"))
         )
     return union_all(out)
 
@@ -259,30 +279,32 @@ def release_reasons(parsed: DataFrame, policy: Policy, runs: DataFrame | None =
 def release_gate(
     parsed: DataFrame, policy: Policy, runs: DataFrame | None = None, *, max_reasons: int = 200
 ) -> DataFrame:
-    """One row per run: may it be released, and if not, why."""
-    runs = parsed if runs is None else runs
-    reasons = release_reasons(parsed, policy, runs)
-    counts = reasons.groupBy("run_id").agg(F.count("*").alias("n_reasons"))
-    # at most max_reasons per run are listed, all of them are counted
-    listed = (
-        examples(reasons, "run_id", ["layer", "reason"], max_reasons)
-        .groupBy("run_id")
-        .agg(
-            F.array_sort(F.collect_list("reason")).alias("reasons"),
-            F.array_sort(F.collect_set("remediation")).alias("remediation"),
-        )
-    )
-    none = F.array().cast("array<string>")
-    return (
-        runs.select("run_id")
-        .distinct()
-        .join(counts, "run_id", "left")
-        .join(listed, "run_id", "left")
-        .select(
-            "run_id",
-            F.col("n_reasons").isNull().alias("releasable"),
-            F.coalesce("n_reasons", F.lit(0).cast("long")).alias("n_reasons"),
-            F.coalesce("reasons", none).alias("reasons"),
-            F.coalesce("remediation", none).alias("remediation"),
+    """One row per run: may it be released, and if not, why.
+
+    All reasons are counted; per run at most ``max_reasons`` are listed.
+    """
+    per_run = _run_reasons(parsed, policy, runs)
+    texts = F.array().cast("array<string>")
+    if policy.blocking_severities:
+        hints = _hint_reasons(parsed, policy)
+        counts = hints.groupBy("run_id").agg(F.count("*").alias("n_hints"))
+        listed = (
+            examples(hints, "run_id", ["reason"], max_reasons)
+            .groupBy("run_id")
+            .agg(F.collect_list("reason").alias("hints"))
         )
+        per_run = per_run.join(counts, "run_id", "left").join(listed, "run_id", "left")
+    else:
+        per_run = per_run.withColumns({"n_hints": F.lit(0), "hints": texts})
+    n_hints = F.coalesce("n_hints", F.lit(0))
+    n = (F.size("reasons") + n_hints).cast("long")
+    actions = F.transform("reasons", lambda r: r["remediation"])
+    actions = F.concat(actions, F.when(n_hints > 0, F.array(F.lit("resolve_hint"))).otherwise(texts))
+    all_reasons = F.concat(F.transform("reasons", lambda r: r["reason"]), F.coalesce("hints", texts))
+    return per_run.select(
+        "run_id",
+        (n == 0).alias("releasable"),
+        n.alias("n_reasons"),
+        F.array_sort(F.slice(all_reasons, 1, max_reasons)).alias("reasons"),
+        F.array_sort(F.array_distinct(actions)).alias("remediation"),
     )

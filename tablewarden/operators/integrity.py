@@ -12,6 +12,7 @@ from tablewarden.functions.numbers import ratio
 from tablewarden.functions.text import MISSING_CATEGORY, norm_category, row_id, text_of
 from tablewarden.operators.findings import FAIL, PASS, SKIPPED, WARN
 from tablewarden.operators.order_stats import bucket_count, ordered_buckets
+from tablewarden.session import literal_rows
 
 # Parts of a column name that point at the label (label alignment check).
 LABEL_NAME_PARTS = ["label", "target", "churn", "default", "fraud", "converted"]
@@ -78,7 +79,8 @@ def time_bounds(
 ) -> DataFrame:
     """Missing or unreadable times, and times outside the allowed range."""
     if column is None:
-        return df.sparkSession.createDataFrame(
+        return literal_rows(
+            df.sparkSession,
             [(None, None, None, None, SKIPPED)],
             "n_rows long, n_missing long, n_too_early long, n_too_late long, status string",
         )

@@ -14,6 +14,7 @@ from tablewarden.functions.text import MISSING_CATEGORY, norm_category, text_of
 from tablewarden.operators.findings import FAIL, PASS, WARN
 from tablewarden.operators.order_stats import exact_quantiles
 from tablewarden.operators.segments import examples
+from tablewarden.session import literal_rows
 
 
 def _long(one_row: DataFrame, subjects: Sequence[str], metrics: Mapping[str, str], key: str = "column") -> DataFrame:
@@ -57,7 +58,7 @@ def contract_columns(df: DataFrame, contract: Contract) -> DataFrame:
     rows += [
         (c, "extra_column", PASS if contract.allow_extra else WARN) for c in df.columns if c not in known
     ]
-    return df.sparkSession.createDataFrame(rows, "column string, issue string, status string")
+    return literal_rows(df.sparkSession, rows, "column string, issue string, status string")
 
 
 def contract_dtypes(df: DataFrame, contract: Contract) -> DataFrame:

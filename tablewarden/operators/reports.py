@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.text import strip
 from tablewarden.operators.findings import FAIL, STATUSES
+from tablewarden.session import literal_rows
 
 # The keys that every report must have.
 REQUIRED_KEYS = [
@@ -329,15 +330,18 @@ class Step:
     enabled: bool = True
 
 
-def step_table(spark: SparkSession, steps: Sequence[Step], default_gate: str = "soft") -> DataFrame:
-    """The configured steps in order; a step without its own gate gets the default."""
+def gate_of(steps: Sequence[Step], default_gate: str = "soft") -> Column:
+    """The gate of a report's step; a step without its own gate gets the default."""
+    pairs = []
     for s in steps:
-        if (s.gate or default_gate).lower() not in ("hard", "soft"):
+        gate = (s.gate or default_gate).strip().lower()
+        if gate not in ("hard", "soft"):
             raise ValueError(f"gate of {s.stage}.{s.name} must be hard or soft, got {s.gate!r}")
-    rows = [
-        (i, s.stage, s.name, (s.gate or default_gate).lower(), s.enabled) for i, s in enumerate(steps)
-    ]
-    return spark.createDataFrame(rows, "step_no int, stage string, name string, gate string, enabled boolean")
+        pairs += [F.lit(f"{s.stage}/{s.name}"), F.lit(gate)]
+    if not pairs:
+        return F.lit(default_gate)
+    own = F.try_element_at(F.create_map(*pairs), F.concat_ws("/", "stage", "name"))
+    return F.coalesce(own, F.lit(default_gate))
 
 
 def expected_reports(runs: DataFrame, steps: Sequence[Step]) -> DataFrame:
@@ -368,7 +372,8 @@ def failed_payload(issue: Column) -> Column:
 
 def exception_report(spark: SparkSession, *, stage: str, name: str, run_id: str, error: BaseException) -> DataFrame:
     """The failing report of a step that raised."""
-    row = spark.createDataFrame(
+    row = literal_rows(
+        spark,
         [(stage, name, run_id, type(error).__name__, repr(error))],
         "stage string, name string, run_id string, error_type string, error_repr string",
     )
@@ -382,16 +387,15 @@ def exception_report(spark: SparkSession, *, stage: str, name: str, run_id: str,
     return row.select("stage", "name", "run_id", payload.alias("payload"))
 
 
-def gate_decisions(parsed: DataFrame, steps: Sequence[Step], *, strict: bool = True, default_gate: str = "soft") -> DataFrame:
+def gate_decisions(
+    parsed: DataFrame, steps: Sequence[Step], *, strict: bool = True, default_gate: str = "soft"
+) -> DataFrame:
     """Which reports stop their run: strict mode, a hard gate and a failed status together."""
-    # the step list is part of the configuration, so it is small by nature
-    gates = F.broadcast(step_table(parsed.sparkSession, steps, default_gate))
-    status = module_status()
     halt = F.lit(strict) & (F.col("gate") == "hard") & (F.col("status") == FAIL)
     return (
-        parsed.select("run_id", "stage", "name", status.alias("status"))
-        .join(gates.select("stage", "name", "gate"), ["stage", "name"], "left")
-        .withColumn("gate", F.coalesce("gate", F.lit(default_gate)))
+        parsed.select(
+            "run_id", "stage", "name", module_status().alias("status"), gate_of(steps, default_gate).alias("gate")
+        )
         .withColumn("is_fail", F.col("status") == FAIL)
         .withColumn("halt", halt)
     )

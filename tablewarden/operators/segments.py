@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.numbers import nan_to_null, number_of, ratio
 from tablewarden.functions.text import MISSING_CATEGORY, norm_category, text_of
+from tablewarden.session import literal_rows
 
 
 def _labelled_levels(
@@ -127,7 +128,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     lo, hi = x.agg(F.min("x"), F.max("x")).first()
     spark = df.sparkSession
     if lo is None:
-        return spark.createDataFrame([], "bin int, bin_left double, bin_right double, n long")
+        return literal_rows(spark, [], "bin int, bin_left double, bin_right double, n long")
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins

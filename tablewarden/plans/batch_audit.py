@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tablewarden.functions.numbers import number_of, ratio
 from tablewarden.functions.text import row_id, text_of
 from tablewarden.operators.findings import FAIL, PASS, WARN
-from tablewarden.operators.reports import Step, report_payload
+from tablewarden.operators.reports import HINTS_DDL, Step, report_payload
 
 STEPS = [
     Step("setup", "config_snapshot"),
@@ -98,49 +98,61 @@ def batch_reports(df: DataFrame, run_id: Column, rules: BatchRules) -> DataFrame
     def texts(*pairs: tuple[str, Column]) -> Column:
         return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), t) for t, c in pairs]))
 
-    def status(issues: Column, warnings: Column) -> Column:
-        return F.when(F.size(issues) > 0, FAIL).when(F.size(warnings) > 0, WARN).otherwise(PASS)
-
-    contract_issues = texts(("null_key", F.col("n_no_key") > 0))
-    ready_issues = texts(("too_few_rows", n < rules.min_rows), ("label_missing", missing > rules.max_label_missing))
-    balanced = positive.between(rules.min_positive, rules.max_positive)
-    ready_warnings = texts(("class_imbalance", ~F.coalesce(balanced, F.lit(False))))
     unready = n < 2
-    repeat_warnings = texts(("entity_repeats", repeats > 0))
-    hints = F.array_compact(
-        F.array(
-            F.when(repeats > 0, _hint("row_identity_entity_repeats", "risk", "checks.entities", repeats)),
-            F.when(F.col("n_extreme") > 0, _hint("extreme_amount", "hard", "checks.amounts", F.col("n_extreme"))),
-        )
+    balanced = F.coalesce(positive.between(rules.min_positive, rules.max_positive), F.lit(False))
+    facts = f.select(
+        "*",
+        texts(("null_key", F.col("n_no_key") > 0)).alias("contract_issues"),
+        texts(
+            ("too_few_rows", ~unready & (n < rules.min_rows)),
+            ("label_missing", ~unready & (missing > rules.max_label_missing)),
+        ).alias("ready_issues"),
+        texts(("class_imbalance", ~unready & ~balanced)).alias("ready_warnings"),
+        texts(("missing_module_report", unready)).alias("unready_warnings"),
+        texts(("entity_repeats", repeats > 0)).alias("repeat_warnings"),
+        F.array_compact(
+            F.array(
+                F.when(repeats > 0, _hint("row_identity_entity_repeats", "risk", "checks.entities", repeats)),
+                F.when(
+                    F.col("n_extreme") > 0,
+                    _hint("extreme_amount", "hard", "checks.amounts", F.col("n_extreme")),
+                ),
+            )
+        ).cast(HINTS_DDL).alias("hints"),
     )
-    no_hints = F.filter(hints, lambda h: F.lit(False))
-    quality_issues = F.concat(contract_issues, F.when(unready, no_texts).otherwise(ready_issues))
-    quality_warnings = F.concat(
-        F.when(unready, no_texts).otherwise(ready_warnings), texts(("missing_module_report", unready))
-    )
-    metrics = F.create_map(
-        *[x for c in ("n", "n_label", "n_positive", "n_entities") for x in (F.lit(c), F.col(c).cast("string"))]
-    )
-    where = F.struct(F.concat(F.lit("clean/"), F.col("run_id")).alias("cleaned_parquet_path"))
+    no_hints = F.array().cast(HINTS_DDL)
 
-    def line(step: Step, issues: Column, warnings: Column, hints: Column, **extra) -> Column:
-        payload = report_payload(
-            stage=F.lit(step.stage), step=F.lit(step.name), name=F.lit(step.name), run_id=F.col("run_id"),
-            total_rows=n, total_cols=F.lit(len(df.columns)), status=status(issues, warnings), issues=issues,
-            warnings=warnings, hints=hints, metrics=metrics, **extra,
+    def line(step: Step, issues: Column = no_texts, warnings: Column = no_texts, hints: Column = no_hints) -> Column:
+        return F.struct(
+            F.lit(step.stage).alias("stage"), F.lit(step.name).alias("name"),
+            issues.alias("issues"), warnings.alias("warnings"), hints.alias("hints"),
         )
-        return F.struct(F.lit(step.stage).alias("stage"), F.lit(step.name).alias("name"), payload.alias("payload"))
 
     setup, contract, ready, quality, identity, integrity, manifest = STEPS
+    own, both = F.col("ready_issues"), F.concat("contract_issues", "ready_issues")
     lines = F.array_compact(
         F.array(
-            line(setup, no_texts, no_texts, no_hints),
-            line(contract, contract_issues, no_texts, no_hints),
-            F.when(~unready, line(ready, ready_issues, ready_warnings, no_hints)),
-            line(quality, quality_issues, quality_warnings, no_hints, extra_checks={"persistence": where}),
-            line(identity, no_texts, repeat_warnings, hints),
-            line(integrity, no_texts, repeat_warnings, no_hints),
-            line(manifest, no_texts, no_texts, no_hints),
+            line(setup),
+            line(contract, F.col("contract_issues")),
+            F.when(~unready, line(ready, own, F.col("ready_warnings"))),
+            line(quality, both, F.concat("ready_warnings", "unready_warnings")),
+            line(identity, warnings=F.col("repeat_warnings"), hints=F.col("hints")),
+            line(integrity, warnings=F.col("repeat_warnings")),
+            line(manifest),
         )
     )
-    return f.select("run_id", F.explode(lines).alias("_l")).select("run_id", "_l.*")
+    counts = ("n", "n_label", "n_positive", "n_entities")
+    rows = facts.select("run_id", *counts, F.explode(lines).alias("_l")).select("run_id", *counts, "_l.*")
+    status = (
+        F.when(F.size("issues") > 0, FAIL).when(F.size("warnings") > 0, WARN).otherwise(PASS)
+    )
+    is_quality = (F.col("stage") == quality.stage) & (F.col("name") == quality.name)
+    where = F.when(is_quality, F.struct(F.concat(F.lit("clean/"), "run_id").alias("cleaned_parquet_path")))
+    # one JSON expression serves the rows of all checks
+    payload = report_payload(
+        stage=F.col("stage"), step=F.col("name"), name=F.col("name"), run_id=F.col("run_id"), total_rows=n,
+        total_cols=F.lit(len(df.columns)), status=status, issues=F.col("issues"), warnings=F.col("warnings"),
+        hints=F.col("hints"), extra_checks={"persistence": where},
+        metrics=F.create_map(*[x for c in counts for x in (F.lit(c), F.col(c).cast("string"))]),
+    )
+    return rows.select("run_id", "stage", "name", payload.alias("payload"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablewarden.functions.numbers import binary_label, nulls_for_nan
 from tablewarden.operators import integrity, leakage
 from tablewarden.operators.findings import FAIL, PASS, WARN, findings, union_all, worst_status
+from tablewarden.session import literal_rows
 
 SOURCES = ["row_identity", "temporal", "label_alignment", "leakage_scan"]
 
@@ -65,7 +66,7 @@ def integrity_findings(
                  value=F.col("positive_share"), severity="hard", bad=bad)
     )
     risky = [(c,) for c in integrity.risky_names(df, exclude=[label]) if c in features]
-    named = df.sparkSession.createDataFrame(risky, "column string")
+    named = literal_rows(df.sparkSession, risky, "column string")
     out.append(
         findings(named, source="label_alignment", code="forbidden_name", subject=F.col("column"),
                  value=F.lit(1.0), severity="risk", bad=F.lit(True))
@@ -92,7 +93,7 @@ def missing_sources(
 ) -> DataFrame:
     """A finding for every expected source without any row."""
     status = FAIL if fail else WARN if warn else PASS
-    asked = found.sparkSession.createDataFrame([(s,) for s in expected], "source string")
+    asked = literal_rows(found.sparkSession, [(s,) for s in expected], "source string")
     return asked.join(found.select("source").distinct(), "source", "left_anti").select(
         "source",
         F.lit("missing_report").alias("code"),

@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
@@ -36,3 +40,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tablewarden-")
         spark.conf.set("tablewarden.scratch", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
+    """A handful of configured rows as plan literals, without an RDD behind them."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
+    ]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
