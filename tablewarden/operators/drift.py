@@ -121,10 +121,11 @@ def ks_drift(
     rows = assigned.filter(part.isin("train", "val", "test"))
     numbers = rows.select("split", *[number_of(rows, c).alias(c) for c in features])
     n_buckets = bucket_count(rows.count(), rows_per_bucket)
+    buckets = ordered_buckets(numbers, features, n_buckets)
     tagged = []
     for c in features:
         x = F.col(f"`{c}`")
-        bucket = ordered_buckets(numbers, c, n_buckets).of(x)
+        bucket = buckets[c].of(x)
         tagged.append(F.struct(F.lit(c).alias("feature"), bucket.alias("bucket"), x.alias("value")))
     counts = (
         numbers.select("split", F.explode(F.array(*tagged)).alias("_v"))

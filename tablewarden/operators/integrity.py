@@ -139,24 +139,23 @@ def out_of_order(
         seq = narrow.withColumn("previous_time", F.lag("_t").over(in_entity.orderBy("_o")))
         return seq.filter(F.col("_t") < F.col("previous_time")).select(*names)
 
-    cut = narrow.withColumn("_piece", ordered_buckets(narrow, "_o", pieces).of(F.col("_o")))
-    # one row per entity and piece: at most `pieces` rows per entity
-    ends = cut.groupBy(*keys, "_piece").agg(F.max_by("_t", "_o").alias("_last"))
-    handed_on = ends.select(
-        *keys, "_piece", F.lag("_last").over(in_entity.orderBy("_piece")).alias("_before")
-    ).filter(F.col("_before").isNotNull())
+    buckets = ordered_buckets(narrow, ["_o"], pieces)["_o"]
+    cut = narrow.withColumn("_piece", buckets.of(F.col("_o")))
     seq = cut.withColumn("_prev", F.lag("_t").over(Window.partitionBy(*keys, "_piece").orderBy("_o")))
     inside = seq.filter(F.col("_t") < F.col("_prev")).select(
         *keys, F.col("_o").alias("order_value"), F.col("_t").alias("event_time"),
         F.col("_prev").alias("previous_time"),
-    )
-    starts = cut.groupBy(*keys, "_piece").agg(
-        F.min("_o").alias("order_value"), F.min_by("_t", "_o").alias("event_time")
+    )
+    # one row per entity and piece, so at most `pieces` rows of an entity meet in a window
+    ends = cut.groupBy(*keys, "_piece").agg(
+        F.min("_o").alias("order_value"),
+        F.min_by("_t", "_o").alias("event_time"),
+        F.max_by("_t", "_o").alias("_last"),
     )
     across = (
-        starts.join(handed_on, [*keys, "_piece"])
-        .filter(F.col("event_time") < F.col("_before"))
-        .select(*keys, "order_value", "event_time", F.col("_before").alias("previous_time"))
+        ends.withColumn("previous_time", F.lag("_last").over(in_entity.orderBy("_piece")))
+        .filter(F.col("event_time") < F.col("previous_time"))
+        .select(*keys, "order_value", "event_time", "previous_time")
     )
     return inside.unionByName(across)
 

@@ -80,7 +80,8 @@ def values_at_ranks(
     while wide := [b for b in brackets if b.inside > direct_limit]:
         done.update(_narrow(df, wide, kinds))
         brackets = [b for b in brackets if (b.column, b.rank) not in done]
-    done.update(_read_off(df, brackets, kinds))
+    if brackets:
+        done.update(_read_off(df, brackets, kinds))
     return done
 
 
@@ -128,35 +129,40 @@ def _narrow(df: DataFrame, wide: list[_Bracket], kinds: Mapping[str, T.DataType]
     return hit
 
 
-def _read_off(df: DataFrame, open_: list[_Bracket], kinds: Mapping[str, T.DataType]) -> dict:
-    """Order the values of brackets whose size has been checked."""
-    done = {}
-    by_column: dict[str, list[_Bracket]] = {}
-    for b in open_:
-        by_column.setdefault(b.column, []).append(b)
-    for column, group in by_column.items():
-        kind = kinds[column]
-        # brackets of one column that share their bounds share one pass
-        same_bounds: dict[tuple, list[_Bracket]] = {}
-        for b in group:
-            same_bounds.setdefault((b.low, b.high, b.below), []).append(b)
-        for same in same_bounds.values():
-            values = (
-                df.select(F.col(f"`{column}`").alias("v"))
-                .filter(_in_bracket(same[0], F.col("v"), kind))
-                .groupBy("v")
-                .agg(F.count("*").alias("n"))
-            )
-            # at most direct_limit rows reach this window, see values_at_ranks
-            run = Window.partitionBy(F.lit(0)).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-            ranked = values.withColumn("upto", F.sum("n").over(run) + F.lit(same[0].below))
-            picks = [
-                _portable(F.min(F.when(F.col("upto") >= b.rank, F.col("v"))), kind).alias(str(i))
-                for i, b in enumerate(same)
-            ]
-            row = ranked.agg(*picks).first()
-            for i, b in enumerate(same):
-                done[(column, b.rank)] = row[i]
+def _read_off(df: DataFrame, brackets: list[_Bracket], kinds: Mapping[str, T.DataType]) -> dict:
+    """Order the values of brackets whose size has been checked; one job per column type."""
+    done: dict = {}
+    by_kind: dict[str, list[_Bracket]] = {}
+    for b in brackets:
+        by_kind.setdefault(kinds[b.column].simpleString(), []).append(b)
+    for same_kind in by_kind.values():
+        kind = kinds[same_kind[0].column]
+        # brackets of one column that share their bounds share their values
+        spans: dict[tuple, list[_Bracket]] = {}
+        for b in same_kind:
+            spans.setdefault((b.column, b.low, b.high, b.below), []).append(b)
+        tagged, below = [], []
+        for g, (span, group) in enumerate(spans.items()):
+            c = F.col(f"`{span[0]}`")
+            tagged.append(F.when(_in_bracket(group[0], c, kind), F.struct(F.lit(g).alias("g"), c.alias("v"))))
+            below += [F.lit(g), F.lit(span[3]).cast("long")]
+        counts = (
+            df.select(F.explode(F.array_compact(F.array(*tagged))).alias("_x"))
+            .groupBy("_x.g", "_x.v")
+            .agg(F.count("*").alias("n"))
+        )
+        # at most direct_limit rows per group reach this window, see values_at_ranks
+        run = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        upto = F.sum("n").over(run) + F.element_at(F.create_map(*below), F.col("g"))
+        ranked = counts.withColumn("upto", upto)
+        picks, places = [], []
+        for g, group in enumerate(spans.values()):
+            for b in group:
+                reached = (F.col("g") == g) & (F.col("upto") >= b.rank)
+                picks.append(_portable(F.min(F.when(reached, F.col("v"))), kind).alias(str(len(places))))
+                places.append((b.column, b.rank))
+        row = ranked.agg(*picks).first()
+        done.update({place: row[i] for i, place in enumerate(places)})
     return done
 
 
@@ -212,7 +218,9 @@ class OrderedBuckets:
         groups = [self.edges[i : i + step] for i in range(0, len(self.edges), step)]
 
         def arr(values):
-            return F.array(*[_literal(v, self.kind) for v in values])
+            # one text literal, cast to an array: folded to a constant by the optimizer
+            text = ",".join(str(v) for v in values)
+            return F.split(F.lit(text), ",").cast(T.ArrayType(self.kind))
 
         heads = arr([g[0] for g in groups])
         tails = F.array(*[arr(g) for g in groups])
@@ -221,17 +229,23 @@ class OrderedBuckets:
         return F.when(group == 0, F.lit(0)).otherwise((group - 1) * F.lit(step) + inside)
 
 
-def ordered_buckets(df: DataFrame, column: str, n_buckets: int) -> OrderedBuckets:
-    """Bucket edges from a quantile sketch; the edges only balance, results stay exact."""
-    kind = df.schema[column].dataType
+def ordered_buckets(df: DataFrame, columns: Sequence[str], n_buckets: int) -> dict[str, OrderedBuckets]:
+    """Bucket edges of all columns from one sketching pass.
+
+    The edges only balance the work; results computed with them stay exact.
+    """
+    kinds = {c: df.schema[c].dataType for c in columns}
     if n_buckets <= 1:
-        return OrderedBuckets((), kind)
-    shares = [i / n_buckets for i in range(1, n_buckets)]
-    sketch = F.percentile_approx(F.col(f"`{column}`"), shares, SKETCH_ACCURACY)
-    row = df.agg(F.transform(sketch, lambda v: _portable(v, kind)).alias("edges")).first()
-    found = row["edges"] or []
-    edges = tuple(dict.fromkeys(found))
-    return OrderedBuckets(edges, kind)
+        return {c: OrderedBuckets((), kinds[c]) for c in columns}
+    shares = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
+    asks = []
+    for i, c in enumerate(columns):
+        sketch = F.percentile_approx(F.col(f"`{c}`"), shares, SKETCH_ACCURACY)
+        if not isinstance(kinds[c], T.NumericType):
+            sketch = sketch.cast("array<string>")
+        asks.append(sketch.alias(str(i)))
+    row = df.agg(*asks).first()
+    return {c: OrderedBuckets(tuple(dict.fromkeys(row[i] or [])), kinds[c]) for i, c in enumerate(columns)}
 
 
 def bucket_count(n_rows: int, rows_per_bucket: int, most: int = 4096) -> int:

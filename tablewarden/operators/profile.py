@@ -193,10 +193,10 @@ def health_numeric(df: DataFrame, columns: Sequence[str], *, approximate_median:
 def top_levels(df: DataFrame, columns: Sequence[str], k: int = 3) -> DataFrame:
     """The ``k`` most frequent known values per column with their share of all rows."""
     counts = _level_counts(df, columns)
-    totals = counts.groupBy("column").agg(F.sum("n").alias("_rows"))
-    best = examples(
-        counts.filter(F.col("value").isNotNull()), "column", [F.desc("n"), F.asc("value")], k
-    )
+    totals = counts.groupBy("column").agg(F.sum("n").alias("_rows"))  # one row per column
+    # NULLs are ranked last and dropped after ranking, so both readers share one shuffle
+    unknown = F.col("value").isNull()
+    best = examples(counts, "column", [unknown, F.desc("n"), F.asc("value")], k).filter(~unknown)
     return best.join(F.broadcast(totals), "column").select(
         "column",
         F.col("example_no").alias("level_rank"),

@@ -41,10 +41,8 @@ REPORT_DDL = f"""
   n_cols double, total_cols double, total_columns double, cols double, columns double,
   high_level struct<total_rows: double>, shape_before array<double>
 """
-HINTS_DDL = (
-    "array<struct<code: string, severity_signal: string, evidence_path: string, "
-    f"context: {_DICT}, remediation: {_DICT}>>"
-)
+HINT_DDL = f"struct<code: string, severity_signal: string, evidence_path: string, context: {_DICT}, remediation: {_DICT}>"
+HINTS_DDL = f"array<{HINT_DDL}>"
 HINTS_PATH = "$.checks.event_hints.hints"
 
 
@@ -136,9 +134,13 @@ def _r(path: str) -> Column:
 
 
 def hints_of(payload: Column | str = "payload") -> Column:
-    """The report's event hints; entries that are no objects are left out."""
-    hints = F.from_json(F.get_json_object(payload, HINTS_PATH), HINTS_DDL)
-    return F.filter(hints, lambda h: h.isNotNull())
+    """The report's event hints; entries that are no objects are left out.
+
+    Entries are parsed one by one, so that a malformed one costs only itself.
+    """
+    entries = F.from_json(F.get_json_object(payload, HINTS_PATH), "array<string>")
+    objects = F.filter(entries, lambda e: e.startswith("{"))
+    return F.transform(objects, lambda e: F.from_json(e, HINT_DDL))
 
 
 def _absent(required: Sequence[str], keys: Column, prefix: str) -> Column:

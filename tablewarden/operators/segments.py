@@ -27,15 +27,28 @@ def _labelled_levels(
     y = norm_category(text_of(df, label))
     # labels first: rows without one take no part, and nothing but the used columns is read
     narrow = df.select(y.alias("_y"), *[norm_category(text_of(df, c)).alias(c) for c in present])
+    hit = (F.col("_y") == positive).cast("int")
+    # label and level travel as one value: a plain unpivot keeps its shuffle reusable in self joins
+    pairs = [F.struct(hit.alias("pos"), F.col(f"`{c}`").alias("segment")).alias(c) for c in present]
     return (
         narrow.filter(F.col("_y") != MISSING_CATEGORY)
-        .select((F.col("_y") == positive).cast("int").alias("_pos"), *[f"`{c}`" for c in present])
-        .unpivot(["_pos"], present, "segment_col", "segment")
-        .groupBy("segment_col", "segment")
-        .agg(F.count("*").alias("n"), F.sum("_pos").alias("n_positive"))
+        .select(*pairs)
+        .unpivot([], present, "segment_col", "_v")
+        .groupBy("segment_col", F.col("_v.segment").alias("segment"))
+        .agg(F.count("*").alias("n"), F.sum("_v.pos").alias("n_positive"))
     )
 
 
+def _column_totals(levels: DataFrame) -> DataFrame:
+    """(segment_col, n_valid), one row per segment column.
+
+    Both sums are kept in use: with the same columns as the level table itself
+    Spark reads that table's shuffle a second time instead of the input.
+    """
+    sums = levels.groupBy("segment_col").agg(F.sum("n").alias("n_valid"), F.sum("n_positive").alias("_pos"))
+    return sums.filter(F.col("_pos") >= 0).select("segment_col", "n_valid")
+
+
 def rate_by_segment(
     df: DataFrame,
     *,
@@ -51,7 +64,7 @@ def rate_by_segment(
     """
     levels = _labelled_levels(df, label, positive, segments)
     # one row per segment column, so this side is bounded by the argument list
-    totals = levels.groupBy("segment_col").agg(F.sum("n").alias("n_valid"))
+    totals = _column_totals(levels)
     share = ratio(F.col("n"), F.col("n_valid"))
     return (
         levels.join(F.broadcast(totals), "segment_col")
@@ -99,7 +112,7 @@ def rate_spread(
 ) -> DataFrame:
     """Widest gap between level rates per categorical column; tiny levels left out."""
     levels = _labelled_levels(df, label, positive, columns)
-    totals = levels.groupBy("segment_col").agg(F.sum("n").alias("n_valid"))
+    totals = _column_totals(levels)
     rate = ratio(F.col("n_positive"), F.col("n"))
     return (
         levels.join(F.broadcast(totals), "segment_col")

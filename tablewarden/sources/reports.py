@@ -44,7 +44,7 @@ def read_report_files(
     whose ``report`` is NULL, and does not become several valid ones.
     """
     name_of = r"^(" + "|".join(stages) + r")_(.+)_([^_]+)\.json$"
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(folder)
+    files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
     file = F.col("_metadata.file_name")
     rows = files.select(
         F.regexp_extract(file, name_of, 1).alias("stage"),
