@@ -8,7 +8,7 @@ from tablewarden.catalog.inputs import LINES_WITH_GAPS, lines_with_gaps, table
 from tablewarden.catalog.registry import Register
 from tablewarden.functions.numbers import binary_label
 from tablewarden.operators import integrity, leakage
-from tablewarden.plans.integrity import SOURCES, findings_summary, integrity_findings
+from tablewarden.plans.integrity import SOURCES, findings_as_hints, findings_summary, integrity_findings
 
 register = Register()
 query = register.query
@@ -201,6 +201,18 @@ def derived_proxy(spark, sf):
     )
 
 
+@query(
+    "proxy_scan",
+    f"""with {EVENTS}, r as (select 'double_value' as target, 'double_value~value*two' as rule, corr(double_value, value * two) as r from ev
+      union all select 'value', 'value~user_id', corr(value, user_id) from ev)
+    select target, rule, round(r, 6) as correlation, abs(r) >= 0.7 as flagged,
+      if(abs(r) >= 0.7, 'check_multicollinearity,drop_or_regularize,keep_but_constrain', '') as actions from r""",
+)
+def proxy_scan(spark, sf):
+    rules = [*PROXIES, leakage.ProxyRule("value", ["user_id"])]
+    return leakage.proxy_correlations(labelled_events(spark, sf), rules)
+
+
 @query(
     "proxy_examples",
     """select l_orderkey, l_linenumber, l_partkey, round(l_extendedprice / (l_quantity * l_suppkey), 6) as ratio from lineitem
@@ -259,6 +271,17 @@ def findings(spark, sf):
     return _integrity_findings(spark, sf)
 
 
+@query(
+    "integrity_hints",
+    INTEGRITY_FACTS
+    + """ select 'run-1' as run_id, source as module, source || '_' || code as code, severity as severity_signal,
+    'checks.' || code || '.' || subject as evidence_path, 'review_' || code as action from g where status <> 'pass'""",
+)
+def integrity_hints(spark, sf):
+    hints = findings_as_hints(_integrity_findings(spark, sf), "run-1")
+    return hints.withColumn("action", F.col("remediation")["action"]).drop("context", "remediation")
+
+
 @query(
     "integrity_summary",
     INTEGRITY_FACTS

@@ -14,8 +14,10 @@ from tablewarden.catalog.inputs import (
     table,
 )
 from tablewarden.catalog.registry import Register
+from tablewarden.functions.binning import bin_right_closed
 from tablewarden.functions.numbers import binary_label
 from tablewarden.operators import profile, segments
+from tablewarden.operators.order_stats import exact_quantiles
 from tablewarden.plans.quality import quality_findings, severity_summary
 
 register = Register()
@@ -88,6 +90,23 @@ def rate_by_document_segment(spark, sf):
     return segments.rate_by_segment(labelled, label="quality", positive="1", segments=["lang", "source"])
 
 
+@query(
+    "rate_by_bin",
+    f"""with {MESSY_ORDERS}, q as (select quantile_cont(o_totalprice, 0.33) as q1, quantile_cont(o_totalprice, 0.66) as q2 from messy),
+    d as (select label, case when o_totalprice <= q1 then 'low' when o_totalprice <= q2 then 'mid' else 'high' end as price_bin from messy, q where label is not null)
+    select 'price_bin' as segment_col, price_bin as segment, count(*) as n, round(count(*) / (select count(*) from d), 6) as share,
+    round(count(*) filter (label = 'F') / count(*), 6) as positive_rate, count(*) / (select count(*) from d) < 0.01 as small_segment
+    from d group by price_bin""",
+)
+def rate_by_bin(spark, sf):
+    df = messy_orders(spark, sf)
+    edges = exact_quantiles(df, ["o_totalprice"], [0.0, 0.33, 0.66, 1.0], direct_limit=1000)["o_totalprice"]
+    bins = bin_right_closed(F.col("o_totalprice"), edges, ["low", "mid", "high"])
+    return segments.rate_by_segment(
+        df.withColumn("price_bin", bins), label="label", positive="F", segments=["price_bin"]
+    )
+
+
 @query(
     "group_mean",
     f"""with {MESSY_ORDERS} select priority as level, count(*) as n, round(avg(o_totalprice), 6) as mean_value

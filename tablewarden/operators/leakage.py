@@ -12,7 +12,7 @@ from tablewarden.functions.numbers import number_of
 from tablewarden.functions.text import MISSING_CATEGORY, norm_category, text_of
 from tablewarden.operators.findings import PASS, WARN
 from tablewarden.operators.integrity import risky_names
-from tablewarden.operators.profile import label_correlation, numeric_columns
+from tablewarden.operators.profile import guarded_corr, label_correlation, numeric_columns
 
 # Parts of a feature name that hint at knowledge of the outcome.
 OUTCOME_NAME_PARTS = [
@@ -33,17 +33,22 @@ class ProxyRule:
     high: float = 1.2
     min_share: float = 0.90
     min_rows: int = 200
+    actions: Sequence[str] = ("check_multicollinearity", "drop_or_regularize", "keep_but_constrain")
 
     @property
     def name(self) -> str:
         return f"{self.target}~{'*'.join(self.factors)}"
 
 
-def _proxy_ratio(df: DataFrame, rule: ProxyRule) -> Column:
+def _product(df: DataFrame, rule: ProxyRule) -> Column:
     product = number_of(df, rule.factors[0])
     for f in rule.factors[1:]:
         product = product * number_of(df, f)
-    return F.try_divide(number_of(df, rule.target), product)
+    return product
+
+
+def _proxy_ratio(df: DataFrame, rule: ProxyRule) -> Column:
+    return F.try_divide(number_of(df, rule.target), _product(df, rule))
 
 
 def derived_proxies(df: DataFrame, rules: Sequence[ProxyRule]) -> DataFrame:
@@ -78,6 +83,28 @@ def derived_proxies(df: DataFrame, rules: Sequence[ProxyRule]) -> DataFrame:
     )
 
 
+def proxy_correlations(df: DataFrame, rules: Sequence[ProxyRule], *, threshold: float = 0.70) -> DataFrame:
+    """Correlation of each target with its product, and what to do where it is high."""
+    pairs = df.select(
+        *[number_of(df, r.target).alias(f"t{i}") for i, r in enumerate(rules)],
+        *[_product(df, r).alias(f"p{i}") for i, r in enumerate(rules)],
+    )
+    asks = [guarded_corr(F.col(f"t{i}"), F.col(f"p{i}")).alias(f"r{i}") for i in range(len(rules))]
+    lines = []
+    for i, r in enumerate(rules):
+        high = F.coalesce(F.abs(F.col(f"r{i}")) >= threshold, F.lit(False))
+        lines.append(
+            F.struct(
+                F.lit(r.target).alias("target"),
+                F.lit(r.name).alias("rule"),
+                F.round(F.col(f"r{i}"), 6).alias("correlation"),
+                high.alias("flagged"),
+                F.when(high, ",".join(r.actions)).otherwise("").alias("actions"),
+            )
+        )
+    return pairs.agg(*asks).select(F.explode(F.array(*lines)).alias("_l")).select("_l.*")
+
+
 def proxy_examples(df: DataFrame, rule: ProxyRule, keys: Sequence[str], k: int = 10) -> DataFrame:
     """The first ``k`` rows, by key, whose ratio lies in the band."""
     return (

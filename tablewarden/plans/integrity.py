@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.numbers import binary_label, nulls_for_nan
 from tablewarden.operators import integrity, leakage
-from tablewarden.operators.findings import FAIL, PASS, WARN, findings, union_all, worst_status
+from tablewarden.operators.findings import FAIL, PASS, SEVERITIES, WARN, findings, union_all, worst_status
 from tablewarden.session import literal_rows
 
 SOURCES = ["row_identity", "temporal", "label_alignment", "leakage_scan"]
@@ -128,14 +128,20 @@ def findings_summary(found: DataFrame, expected: Sequence[str] = (), **missing:
     )
 
 
-def findings_as_hints(found: DataFrame, run_id: str) -> DataFrame:
-    """Bad findings as event hints of a run."""
-    return found.filter(F.col("status").isin(WARN, FAIL)).select(
-        F.lit(run_id).alias("run_id"),
-        F.col("source").alias("module"),
-        F.concat_ws("_", "source", "code").alias("code"),
-        F.col("severity").alias("severity_signal"),
-        F.concat_ws(".", F.lit("checks"), "code", "subject").alias("evidence_path"),
-        F.create_map(F.lit("value"), F.col("value").cast("string")).alias("context"),
-        F.create_map(F.lit("action"), F.concat(F.lit("review_"), F.col("code"))).alias("remediation"),
+def findings_as_hints(found: DataFrame, run_id: str, *, max_hints: int = 200) -> DataFrame:
+    """Bad findings as event hints of a run, the most severe first, at most ``max_hints``."""
+    order = F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("severity"))
+    return (
+        found.filter(F.col("status").isin(WARN, FAIL))
+        .orderBy(order, "source", "code", "subject")
+        .limit(max_hints)
+        .select(
+            F.lit(run_id).alias("run_id"),
+            F.col("source").alias("module"),
+            F.concat_ws("_", "source", "code").alias("code"),
+            F.col("severity").alias("severity_signal"),
+            F.concat_ws(".", F.lit("checks"), "code", "subject").alias("evidence_path"),
+            F.create_map(F.lit("value"), F.col("value").cast("string")).alias("context"),
+            F.create_map(F.lit("action"), F.concat(F.lit("review_"), F.col("code"))).alias("remediation"),
+        )
     )
