@@ -117,51 +117,51 @@ def ks_drift(
     table is large each feature is cut into ordered buckets, summed up within
     the buckets in parallel and shifted by the sums of the buckets before.
     """
-    part = F.col("split")
-    rows = assigned.filter(part.isin("train", "val", "test"))
+    part, sums = F.col("split"), ("train", "val", "test")
+    rows = assigned.filter(part.isin(*sums))
     numbers = rows.select("split", *[number_of(rows, c).alias(c) for c in features])
-    n_buckets = bucket_count(rows.count(), rows_per_bucket)
-    buckets = ordered_buckets(numbers, features, n_buckets)
-    tagged = []
-    for c in features:
-        x = F.col(f"`{c}`")
-        bucket = buckets[c].of(x)
-        tagged.append(F.struct(F.lit(c).alias("feature"), bucket.alias("bucket"), x.alias("value")))
+    known = numbers.groupBy("split").agg(*[F.count(f"`{c}`").alias(c) for c in features])
+    totals = {(r["split"], c): r[c] for r in known.collect() for c in features}  # three rows
+
+    def total(p: str) -> Column:
+        pairs = [x for c in features for x in (F.lit(c), F.lit(totals.get((p, c), 0)).cast("double"))]
+        return F.element_at(F.create_map(*pairs), F.col("feature"))
+
+    pairs = [F.struct(part.alias("part"), F.col(f"`{c}`").alias("value")).alias(c) for c in features]
     counts = (
-        numbers.select("split", F.explode(F.array(*tagged)).alias("_v"))
-        .select("split", "_v.*")
-        .filter(F.col("value").isNotNull())
-        .groupBy("feature", "bucket", "value")
-        .agg(*[F.count_if(part == p).alias(p) for p in ("train", "val", "test")])
+        numbers.select(*pairs)
+        .unpivot([], list(features), "feature", "_v")
+        .filter(F.col("_v.value").isNotNull())
+        .groupBy("feature", F.col("_v.value").alias("value"))
+        .agg(*[F.count_if(F.col("_v.part") == p).alias(p) for p in sums])
     )
-    sums = ("train", "val", "test")
+    most = max((sum(totals.get((p, c), 0) for p in sums) for c in features), default=0)
+    n_buckets = bucket_count(most, rows_per_bucket)
     if n_buckets > 1:
-        totals = counts.groupBy("feature", "bucket").agg(*[F.sum(p).alias(p) for p in sums])
+        # looked up per distinct value, after counting
+        edges = ordered_buckets(numbers, features, n_buckets)
+        bucket = F.lit(None).cast("int")
+        for c in features:
+            bucket = F.when(F.col("feature") == c, edges[c].of(F.col("value"))).otherwise(bucket)
+        # never NULL, so that the join below adds no filter that would be pushed under the counting
+        counts = counts.withColumn("bucket", F.coalesce(bucket, F.lit(0)))
+        per_bucket = counts.groupBy("feature", "bucket").agg(*[F.sum(p).alias(p) for p in sums])
         # at most n_buckets rows per feature from here on
         before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select(
+        offsets = per_bucket.select(
             "feature", "bucket", *[F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"{p}_0") for p in sums]
         )
         # joined by its two keys; at most features x 4096 rows
         counts = counts.join(F.broadcast(offsets), ["feature", "bucket"])
     else:
-        counts = counts.withColumns({f"{p}_0": F.lit(0) for p in sums})
+        counts = counts.withColumns({"bucket": F.lit(0), **{f"{p}_0": F.lit(0) for p in sums}})
     run = (
         Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     )
+    # the share up to a value is its running count over the feature's own total
     cumulated = counts.select(
-        "feature", *sums, *[(F.sum(p).over(run) + F.col(f"{p}_0")).alias(f"{p}_c") for p in sums]
+        "feature", *[(F.sum(p).over(run) + F.col(f"{p}_0")).alias(f"{p}_c") for p in sums]
     )
-    # the share below a value is its running count over the feature's own total
-    known = numbers.groupBy("split").agg(*[F.count(f"`{c}`").alias(c) for c in features])
-    totals_map = {
-        (r["split"], c): r[c] for r in known.collect() for c in features  # three rows
-    }
-
-    def total(p: str) -> Column:
-        out = F.lit(None).cast("double")
-        pairs = [x for c in features for x in (F.lit(c), F.lit(totals_map.get((p, c), 0)).cast("double"))]
-        return F.element_at(F.create_map(*pairs), F.col("feature")) if pairs else out
 
     gaps = []
     for p in ("val", "test"):

@@ -237,7 +237,8 @@ def ordered_buckets(df: DataFrame, columns: Sequence[str], n_buckets: int) -> di
     kinds = {c: df.schema[c].dataType for c in columns}
     if n_buckets <= 1:
         return {c: OrderedBuckets((), kinds[c]) for c in columns}
-    shares = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
+    text = ",".join(str(i / n_buckets) for i in range(1, n_buckets))
+    shares = F.split(F.lit(text), ",").cast("array<double>")
     asks = []
     for i, c in enumerate(columns):
         sketch = F.percentile_approx(F.col(f"`{c}`"), shares, SKETCH_ACCURACY)
