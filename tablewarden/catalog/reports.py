@@ -21,7 +21,7 @@ from tablewarden.sources.reports import read_reports, write_reports
 register = Register()
 query = register.query
 
-RULES = BatchRules("label", "F", "o_orderkey", "o_custkey", "o_totalprice")
+RULES = BatchRules("label", "F", "o_orderkey", "o_custkey", "o_totalprice", extreme_amount=495_000)
 UPSTREAM = [(s.stage, s.name) for s in STEPS]
 
 

@@ -45,8 +45,8 @@ def number_of(df: DataFrame, name: str) -> Column:
 
 
 def safe_float(c: Column, digits: int = 3) -> Column:
-    """Rounded double; NULL where the value is missing, NaN or infinite."""
-    d = c.cast("double")
+    """Rounded double; NULL where the value is missing, no number, NaN or infinite."""
+    d = c.try_cast("double")
     finite = ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
     return F.when(finite, F.round(d, digits))
 

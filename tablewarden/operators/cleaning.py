@@ -197,8 +197,9 @@ def bucket_rare(
 ) -> DataFrame:
     """Replace levels seen fewer than ``min_freq`` times, rare NULLs included.
 
-    The frequent levels become literals where they are few, which needs no
-    join.  Otherwise they are joined, see ``_join_frequent``.
+    The columns become text.  The frequent levels become literals where they
+    are few, which needs no join.  Otherwise they are joined, see
+    ``_join_frequent``.
     """
     present = [c for c in columns if c in df.columns]
     if not present:

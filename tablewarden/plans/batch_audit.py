@@ -37,11 +37,11 @@ class BatchRules:
     key: str
     entity: str
     amount: str
+    extreme_amount: float  # a larger amount in a batch is a hard finding
     min_rows: int = 5
     max_label_missing: float = 0.30
     min_positive: float = 0.05
     max_positive: float = 0.95
-    extreme_amount: float = 495_000.0
 
 
 def batch_facts(df: DataFrame, run_id: Column, rules: BatchRules) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 def read_csv(
     spark: SparkSession,
     folder: str,
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     *,
     pattern: str = "*.csv",
     encoding: str = "utf-8",
@@ -21,18 +21,20 @@ def read_csv(
     """CSV files of a folder with every column as text.
 
     Typing is left to the contract check and the cast step, where bad cells
-    are counted instead of lost.  ``columns`` is the schema; none is inferred,
-    so the files are read once.
+    are counted instead of lost, so no types are inferred.  Without
+    ``columns`` the names come from the header line; with them, every file's
+    header must agree.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+    reader = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
         .option("encoding", encoding)
         .option("pathGlobFilter", pattern)
-        .csv(folder)
     )
+    if columns is not None:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        reader = reader.schema(schema).option("enforceSchema", False)
+    return reader.csv(folder)
 
 
 DRIVERS = {"postgresql": "org.postgresql.Driver"}
