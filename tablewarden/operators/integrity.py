@@ -57,6 +57,21 @@ def label_conflicts(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame
     )
 
 
+def key_summary(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """Numbers of repeated keys and of keys with conflicting labels, from one grouped pass."""
+    y = norm_category(text_of(df, label))
+    per_key = (
+        df.select(*_cols(keys), F.when(y != MISSING_CATEGORY, y).alias("_y"))
+        .filter(_known(keys))
+        .groupBy(*_cols(keys))
+        .agg(F.count("*").alias("_n"), F.min("_y").alias("_lo"), F.max("_y").alias("_hi"))
+    )
+    return per_key.agg(
+        F.count_if(F.col("_n") > 1).alias("n_duplicate_keys"),
+        F.count_if(F.col("_lo") != F.col("_hi")).alias("n_label_conflicts"),
+    )
+
+
 # --- time ----------------------------------------------------------------------------------
 
 

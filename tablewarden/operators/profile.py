@@ -61,15 +61,24 @@ def contract_columns(df: DataFrame, contract: Contract) -> DataFrame:
     return literal_rows(df.sparkSession, rows, "column string, issue string, status string")
 
 
+def known_value(df: DataFrame, column: str) -> Column:
+    """True where the column holds more than a kind of missing value."""
+    x = F.col(f"`{column}`")
+    return x.isNotNull() & (norm_category(text_of(df, column)) != MISSING_CATEGORY)
+
+
+def unreadable_number(df: DataFrame, column: str) -> Column:
+    """True where a known value is no number."""
+    return known_value(df, column) & number_of(df, column).isNull()
+
+
 def contract_dtypes(df: DataFrame, contract: Contract) -> DataFrame:
     """Values of numeric-listed columns that cannot be read as numbers, in one scan."""
     cols = [c for c in contract.numeric if c in df.columns]
     asks = []
     for i, c in enumerate(cols):
-        x = F.col(f"`{c}`")
-        known = x.isNotNull() & (norm_category(text_of(df, c)) != MISSING_CATEGORY)
-        asks.append(F.count_if(known).alias(f"{i}_n_known"))
-        asks.append(F.count_if(known & number_of(df, c).isNull()).alias(f"{i}_n_unreadable"))
+        asks.append(F.count_if(known_value(df, c)).alias(f"{i}_n_known"))
+        asks.append(F.count_if(unreadable_number(df, c)).alias(f"{i}_n_unreadable"))
     worse = FAIL if contract.enforce_dtypes else WARN
     return _long(df.agg(*asks), cols, {"n_known": "long", "n_unreadable": "long"}).withColumn(
         "status", F.when(F.col("n_unreadable") > 0, worse).otherwise(PASS)
@@ -312,39 +321,47 @@ def rule_examples(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], k:
 # --- readiness and balance -----------------------------------------------------------------
 
 
-def readiness(
-    df: DataFrame,
-    *,
-    label: str,
-    positive: str,
-    min_rows: int = 1000,
-    max_label_missing: float = 0.30,
-    min_positive: float = 0.05,
-    max_positive: float = 0.95,
-) -> DataFrame:
-    """Is the table fit for a classification task: rows, missing labels, class balance."""
-    y = norm_category(text_of(df, label))
-    row = df.agg(
-        F.count("*").alias("n"),
-        F.count_if(y != MISSING_CATEGORY).alias("n_labelled"),
-        F.count_if(y == F.lit(str(positive).strip())).alias("n_pos"),
-    )
-    missing = F.lit(1.0) - ratio(F.col("n_labelled"), F.col("n"))
-    share = ratio(F.col("n_pos"), F.col("n_labelled"))
+@dataclass(frozen=True)
+class Readiness:
+    """What a table needs for a classification task."""
+
+    min_rows: int = 1000
+    max_label_missing: float = 0.30
+    min_positive: float = 0.05
+    max_positive: float = 0.95
+
+    def counts(self, df: DataFrame, label: str, positive: str) -> list[Column]:
+        """The aggregates that ``lines`` reads."""
+        y = norm_category(text_of(df, label))
+        return [
+            F.count("*").alias("n"),
+            F.count_if(y != MISSING_CATEGORY).alias("n_labelled"),
+            F.count_if(y == F.lit(str(positive).strip())).alias("n_pos"),
+        ]
+
+    def lines(self) -> list[tuple[str, Column, Column]]:
+        """(metric, value, good) over the aggregates."""
+        missing = F.lit(1.0) - ratio(F.col("n_labelled"), F.col("n"))
+        share = ratio(F.col("n_pos"), F.col("n_labelled"))
+        return [
+            ("n_rows", F.col("n"), F.col("n") >= self.min_rows),
+            ("label_missing_share", F.round(missing, 6), missing <= self.max_label_missing),
+            ("positive_share", F.round(share, 6), share.between(self.min_positive, self.max_positive)),
+        ]
+
 
-    def line(name: str, value: Column, good: Column) -> Column:
-        return F.struct(
+def readiness(df: DataFrame, *, label: str, positive: str, needs: Readiness = Readiness()) -> DataFrame:
+    """Is the table fit for a classification task: rows, missing labels, class balance."""
+    lines = [
+        F.struct(
             F.lit(name).alias("metric"),
-            F.round(value.cast("double"), 6).alias("value"),
+            value.cast("double").alias("value"),
             F.when(F.coalesce(good, F.lit(False)), PASS).otherwise(FAIL).alias("status"),
         )
-
-    lines = F.array(
-        line("n_rows", F.col("n"), F.col("n") >= min_rows),
-        line("label_missing_share", missing, missing <= max_label_missing),
-        line("positive_share", share, share.between(min_positive, max_positive)),
-    )
-    return row.select(F.explode(lines).alias("_l")).select("_l.*")
+        for name, value, good in needs.lines()
+    ]
+    row = df.agg(*needs.counts(df, label, positive))
+    return row.select(F.explode(F.array(*lines)).alias("_l")).select("_l.*")
 
 
 def label_balance(df: DataFrame, label: str, *, max_majority: float = 0.80) -> DataFrame:

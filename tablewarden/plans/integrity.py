@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.numbers import binary_label, nulls_for_nan
 from tablewarden.operators import integrity, leakage
-from tablewarden.operators.findings import FAIL, PASS, SEVERITIES, WARN, findings, union_all, worst_status
+from tablewarden.operators.findings import FAIL, PASS, SEVERITIES, WARN, fact, facts_of, findings, union_all, worst_status
 from tablewarden.session import literal_rows
 
 SOURCES = ["row_identity", "temporal", "label_alignment", "leakage_scan"]
@@ -31,7 +31,6 @@ def integrity_findings(
 ) -> DataFrame:
     """All integrity checks that the given columns allow, as finding rows."""
     df = nulls_for_nan(df)
-    names = F.lit(",".join(keys))
     n = F.col("n")
     bad = F.col("status").isin(WARN, FAIL)
     out = []
@@ -42,16 +41,24 @@ def integrity_findings(
             findings(total, source=source, code=code, subject=subject, value=n, severity=severity, bad=n > 0)
         )
 
-    counted(integrity.key_duplicates(df, keys), "row_identity", "duplicate_keys", names, "hard")
-    counted(integrity.label_conflicts(df, keys, label), "row_identity", "label_conflicts", names, "hard")
+    id_ = ",".join(keys)
+    dup, split = F.col("n_duplicate_keys"), F.col("n_label_conflicts")
+    out.append(
+        facts_of(
+            integrity.key_summary(df, keys, label),
+            [
+                fact("row_identity", "duplicate_keys", id_, dup, "hard", dup > 0),
+                fact("row_identity", "label_conflicts", id_, split, "hard", split > 0),
+            ],
+        )
+    )
 
     if time_column:
         bounds = integrity.time_bounds(df, time_column, earliest=earliest, latest=latest)
-        for code in ("n_missing", "n_too_early", "n_too_late"):
-            out.append(
-                findings(bounds, source="temporal", code=code, subject=F.lit(time_column), value=F.col(code),
-                         severity="hard", bad=F.col(code) > 0)
-            )
+        codes = ("n_missing", "n_too_early", "n_too_late")
+        out.append(
+            facts_of(bounds, [fact("temporal", c, time_column, F.col(c), "hard", F.col(c) > 0) for c in codes])
+        )
         who = F.lit(",".join(entity))
         if entity:
             snapshots = integrity.duplicate_snapshots(df, entity, time_column)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.numbers import nulls_for_nan
 from tablewarden.operators import profile
-from tablewarden.operators.findings import FAIL, WARN, findings, union_all
+from tablewarden.operators.findings import FAIL, PASS, WARN, fact, facts_of, findings, union_all
 from tablewarden.operators.segments import examples, rate_by_segment
 
 
@@ -25,6 +25,7 @@ def quality_findings(
     high_cardinality: float = 0.50,
     small_share: float = 0.01,
     max_majority: float = 0.80,
+    needs: profile.Readiness = profile.Readiness(),
 ) -> DataFrame:
     """Contract, health, rules, readiness, segments and balance as finding rows."""
     df = nulls_for_nan(df)
@@ -37,11 +38,19 @@ def quality_findings(
         findings(columns, source="contract", code="missing_column", subject=F.col("column"), value=one,
                  severity="hard" if contract.enforce_required else "risk", bad=F.lit(True))
     )
-    out.append(
-        findings(profile.contract_dtypes(df, contract), source="contract", code="dtype_issues_detected",
-                 subject=F.col("column"), value=F.col("n_unreadable"),
-                 severity="hard" if contract.enforce_dtypes else "risk", bad=bad)
-    )
+    # unreadable numbers, broken rules and readiness are one aggregate over one scan
+    asks, facts = needs.counts(df, label, positive), []
+    severity = "hard" if contract.enforce_dtypes else "risk"
+    for i, c in enumerate(c for c in contract.numeric if c in df.columns):
+        asks.append(F.count_if(profile.unreadable_number(df, c)).alias(f"d{i}"))
+        facts.append(fact("contract", "dtype_issues_detected", c, F.col(f"d{i}"), severity, F.col(f"d{i}") > 0))
+    for i, r in enumerate(rules):
+        asks.append(F.count_if(r.broken(df)).alias(f"r{i}"))
+        facts.append(fact("semantic", "rule_broken", r.name, F.col(f"r{i}"), "risk", F.col(f"r{i}") > 0))
+    for name, value, good in needs.lines():
+        facts.append(fact("readiness", name, label, value, "hard", ~F.coalesce(good, F.lit(False))))
+    out.append(facts_of(df.agg(*asks), facts))
+
     if contract.primary_key:
         key = profile.contract_key(df, contract.primary_key)
         broken = F.col("n_null_keys") + F.col("n_rows_in_duplicates")
@@ -55,25 +64,21 @@ def quality_findings(
     def tagged(tag: str) -> Column:
         return F.array_contains(F.split("tags", ","), tag)
 
-    for tag, value, severity in (
-        ("high_missing", "missing_rate", "fixable"),
-        ("high_cardinality", "unique_ratio", "info"),
-    ):
-        out.append(
-            findings(health, source="health", code=tag, subject=F.col("column"), value=F.col(value),
-                     severity=severity, bad=tagged(tag))
-        )
-
-    if rules:
-        out.append(
-            findings(profile.check_rules(df, rules), source="semantic", code="rule_broken",
-                     subject=F.col("rule"), value=F.col("n_violations"), severity="risk", bad=bad)
-        )
-    ready = profile.readiness(df, label=label, positive=positive)
+    # both tags of a column come from the same row, so the profile is computed once
+    tags = F.array(
+        *[
+            F.struct(F.lit(tag).alias("tag"), F.col(value).alias("value"), F.lit(sev).alias("sev"), tagged(tag).alias("bad"))
+            for tag, value, sev in (
+                ("high_missing", "missing_rate", "fixable"),
+                ("high_cardinality", "unique_ratio", "info"),
+            )
+        ]
+    )
+    per_tag = health.select("column", F.explode(tags).alias("_t")).select("column", "_t.*")
     out.append(
-        ready.select(
-            F.lit("readiness").alias("source"), F.col("metric").alias("code"), F.lit(label).alias("subject"),
-            "value", F.lit("hard").alias("severity"), "status",
+        per_tag.select(
+            F.lit("health").alias("source"), F.col("tag").alias("code"), F.col("column").alias("subject"), "value",
+            F.col("sev").alias("severity"), F.when(F.col("bad"), WARN).otherwise(PASS).alias("status"),
         )
     )
     if segments:
