@@ -288,8 +288,8 @@ CLEAN_SQL = f"""with {MESSY_ORDERS}, stripped as (
   from rare, fill"""
 
 
-@query("clean_pipeline", CLEAN_SQL)
-def clean_pipeline(spark, sf):
+@query("clean_run", CLEAN_SQL)
+def clean_run(spark, sf):
     return _run(spark, sf).data.withColumn("price_text", F.round("price_text", 4))
 
 
@@ -331,7 +331,7 @@ def clean_report(spark, sf):
 @query("clean_roundtrip", CLEAN_SQL)
 def clean_roundtrip(spark, sf):
     """Write the clean table to the shared folder and read it back."""
-    path = write_clean(clean_pipeline(spark, sf), shared_folder(spark, "clean"), run_id="roundtrip")
+    path = write_clean(clean_run(spark, sf), shared_folder(spark, "clean"), run_id="roundtrip")
     return read_clean(spark, path)
 
 
