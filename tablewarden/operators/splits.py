@@ -106,13 +106,18 @@ def known_label(df: DataFrame, label: str) -> Column:
     return text_of(df, label).isNotNull()
 
 
-def _upto(token: Column, stratum: Column, cuts: Mapping[int, str]) -> Column:
-    out = F.lit(False)
+def _cut_of(stratum: Column, cuts: Mapping[int, str]) -> Column:
+    out = F.lit(None).cast("string")
     for s, cut in cuts.items():
-        out = out | ((stratum == s) & (token <= F.lit(cut)))
+        out = F.when(stratum == s, F.lit(cut)).otherwise(out)
     return out
 
 
+def _upto(token: Column, stratum: Column, cuts: Mapping[int, str]) -> Column:
+    """Does the token lie within its stratum's cut; the token is hashed once per row."""
+    return F.coalesce(token <= _cut_of(stratum, cuts), F.lit(False))
+
+
 def fit_holdout(
     df: DataFrame,
     *,
@@ -336,10 +341,12 @@ def assign_folds(
     at = tokens_at_ranks(tokens, "_t", "_y", ends, sum(counts.values()), direct_limit=direct_limit)
     y = binary_label(df, label, positive) if stratified else F.lit(0)
     token = hash_token(row_id(df, keys), seed)
-    fold = F.when(~known_label(df, label), F.lit(None).cast("int"))
+    # the fold is the number of fold ends that lie before the token
+    passed = F.lit(0)
     for f in range(folds - 1):
-        fold = fold.when(_upto(token, y, {s: at[(s, ends[s][f])] for s in counts}), F.lit(f))
-    return df.withColumn("fold", fold.otherwise(F.lit(folds - 1)))
+        cut = _cut_of(y, {s: at[(s, ends[s][f])] for s in counts})
+        passed = passed + (token > cut).cast("int")
+    return df.withColumn("fold", F.when(known_label(df, label), passed))
 
 
 # --- advice ---------------------------------------------------------------------------------
