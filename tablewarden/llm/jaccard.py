@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bitmaps import bitmap, only_listed
+from .bitmaps import bitmap, listed, only_listed
 from .components import components
 from .running import running_sum
 from .skew import hot_keys, salted_join
@@ -129,6 +130,18 @@ def _features(k: int, num: int, den: int):
     return run
 
 
+def _listed_marks(groups: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits_of = np.frombuffer(groups.value, np.uint8)
+        for batch in batches:
+            flat = batch["marks"].flatten().to_numpy(zero_copy_only=False)
+            v = np.repeat(batch["v"].to_numpy(), batch["marks"].value_lengths().to_numpy(zero_copy_only=False))
+            passes = listed(bits_of, flat.view(np.uint64))
+            yield pa.RecordBatch.from_pydict({"v": v[passes], "mark": flat[passes]})
+
+    return run
+
+
 def _set_of(hasher: Hasher, text: pa.Scalar, k: int) -> np.ndarray:
     data = np.frombuffer(text.as_buffer() if text.is_valid else b"", np.uint8)
     return next(shingle_sets(hasher, data, np.array([0, len(data)]), k))
@@ -245,7 +258,9 @@ def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int],
     marks = some.select("v", F.explode("marks").alias("mark"))
     groups = marks.groupBy("mark").agg(F.min("v").alias("hub"), F.max("v").alias("_last"), F.count("*").alias("n"))
     groups = materialise(groups.where("hub <> _last").drop("_last"), "groups")
-    met = salted_join(marks, groups.select("mark", "hub"), ["mark"], hot_keys(groups, ["mark"]), "v")
+    # few marks are shared: a bitmap keeps most of the others out of the second shuffle
+    shared = some.select("v", "marks").mapInArrow(_listed_marks(bitmap(groups, "mark")), "v long, mark long")
+    met = salted_join(shared, groups.select("mark", "hub"), ["mark"], hot_keys(groups, ["mark"]), "v")
     met = materialise(met.where("v <> hub").distinct(), "met")
 
     pairs = materialise(met.select("v", "hub").distinct(), "pairs")
