@@ -19,8 +19,11 @@ from .words import Hasher, mix, mix_one, slices, space_words
 
 SHINGLE = 3
 SIMILAR = (90, 100)
-COORDINATES = 64
-LEAF_SHINGLES = 1 << 16
+COORDINATES = 256
+COARSE = 32
+MOST_COUNT = 32767
+LEAF = 1024
+FIRST_PAIRS = 4
 NO_ID = (1 << 63) - 1
 SECOND = 0x3C79AC492BA7B653
 
@@ -99,7 +102,8 @@ def _features(k: int, num: int, den: int):
                     sizes.append(n)
                     v.append(spread.sum(dtype=np.uint64))
                     v2.append(mix(spread ^ np.uint64(mark)).sum(dtype=np.uint64))
-                    points.append(np.bincount((s & np.uint64(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES))
+                    count = np.bincount((s & np.uint64(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES)
+                    points.append(np.minimum(count, MOST_COUNT).astype(np.int16))
                     own = []
                     for c, p, slack in parts.of(n) if n else ():
                         part = (s >> np.uint64(32)) * np.uint64(p) >> np.uint64(32)
@@ -121,7 +125,7 @@ def _features(k: int, num: int, den: int):
                         "v": np.array(v, np.uint64).view(np.int64),
                         "v2": np.array(v2, np.uint64).view(np.int64),
                         "point": pa.ListArray.from_arrays(
-                            np.arange(n + 1, dtype=np.int32) * COORDINATES, np.concatenate(points).astype(np.int32)
+                            np.arange(n + 1, dtype=np.int32) * COORDINATES, np.concatenate(points)
                         ),
                         "marks": pa.ListArray.from_arrays(cuts, flat),
                     }
@@ -166,76 +170,153 @@ def _verify(k: int, num: int, den: int):
     return run
 
 
-def _leaf_pair(k: int, num: int, den: int):
-    """Points of two leaves (or of one) to links between labels: bound by summed minima, then verify."""
+def _fit(both: tuple[np.ndarray, np.ndarray], n: np.ndarray, i: np.ndarray, j: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Summed coordinate minima of points i and j, -1 where they are below the overlap needed.
 
-    def run(table: pa.Table) -> pa.Table:
-        hasher = Hasher(space_words(), lower=True)
-        v, labels, leaf = (table[c].to_numpy() for c in ("v", "label", "leaf"))
-        points = np.array(table["point"].to_pylist(), np.int64).reshape(-1, COORDINATES)
-        n = points.sum(1)
-        texts = table["text"].combine_chunks().cast(pa.large_binary())
-        sets: dict[int, np.ndarray] = {}
-        names = dict(zip(labels.tolist(), labels.tolist()))
-
-        def root(x: int) -> int:
-            while names[x] != x:
-                names[x] = x = names[names[x]]
-            return x
+    ``both`` has sums of neighbouring coordinates, compared first, and the points. Sets so large that a coordinate
+    may not hold its count pass.
+    """
+    out = np.full(len(i), -1)
+    need, free = num * (n[i] + n[j]), np.minimum(n[i], n[j]) > MOST_COUNT
+    at = np.arange(len(i))
+    for p in both:
+        most = np.minimum(p[i[at]], p[j[at]]).sum(1, dtype=np.int64)
+        out[at] = np.where((most * (num + den) >= need[at]) | free[at], most, -1)
+        at = np.flatnonzero(out >= 0)
+    return out
+
+
+def _columns(batch) -> tuple:
+    mark, v, label, n = (batch[c].to_numpy(zero_copy_only=False) for c in ("mark", "v", "label", "n"))
+    point = batch["point"]
+    flat = (point.combine_chunks() if isinstance(point, pa.ChunkedArray) else point).flatten()
+    points = flat.to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+    return mark, v, label, n, (points.reshape(-1, COARSE, COORDINATES // COARSE).sum(2, dtype=np.int32), points)
+
+
+def _small_groups(num: int, den: int):
+    """Rows sorted by mark to pairs of one mark, of different labels, that pass the bound.
+
+    Each row is compared with the next of its mark, then the next but one, all rows at once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            marks = table["mark"].to_numpy()
+            # the last mark may go on in the next batch
+            whole = int(np.searchsorted(marks, marks[-1])) if len(marks) else 0
+            rest = table.slice(whole)
+            if whole:
+                yield _pairs_of(table.slice(0, whole), num, den)
+        if rest is not None:
+            yield _pairs_of(rest, num, den)
+
+    return run
+
+
+def _pairs_of(table: pa.Table, num: int, den: int) -> pa.RecordBatch:
+    mark, v, label, n, points = _columns(table)
+    at, step, found = np.arange(len(mark)), 1, []
+    while True:
+        at = at[at + step < len(mark)]
+        at = at[mark[at] == mark[at + step]]
+        if not len(at):
+            break
+        i = at[label[at] != label[at + step]]
+        for c in range(0, len(i), 8192):
+            k = i[c : c + 8192]
+            most = _fit(points, n, k, k + step, num, den)
+            found.append((k[most >= 0], k[most >= 0] + step, most[most >= 0]))
+        step += 1
+    return _pair_rows(v, label, found)
+
+
+def _pair_rows(v: np.ndarray, label: np.ndarray, found: list) -> pa.RecordBatch:
+    none = np.zeros(0, np.int64)
+    i, j, most = (np.concatenate(c) for c in zip(*found)) if found else (none, none, none)
+    # by the order of the sets' ids, so that a pair found twice is one row
+    swap = v[i] > v[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    return pa.RecordBatch.from_pydict({"a": v[i], "b": v[j], "la": label[i], "lb": label[j], "most": most})
 
+
+def _leaf_pair(num: int, den: int):
+    """Points of two leaves, or of one, to pairs of different labels that pass the bound."""
+
+    def run(table: pa.Table) -> pa.Table:
+        leaf = table["leaf"].to_numpy()
+        _, v, label, n, points = _columns(table)
         first, second = np.flatnonzero(leaf == leaf.min()), np.flatnonzero(leaf == leaf.max())
-        out = []
+        found = []
         for i in first:
             others = second[second > i] if leaf.min() == leaf.max() else second
-            most = np.minimum(points[others], points[i]).sum(1)
-            fits = (most * (num + den) >= num * (n[others] + n[i])) & (labels[others] != labels[i])
-            for j in others[fits]:
-                a, b = root(int(labels[i])), root(int(labels[j]))
-                if a == b:
-                    continue
-                for x in (i, j):
-                    if x not in sets:
-                        sets[x] = _set_of(hasher, texts[int(x)], k)
-                if similar(sets[i], sets[j], num, den):
-                    names[a] = b
-                    out.append((int(v[i]), int(v[j])))
-        a, b = zip(*out) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            others = others[label[others] != label[i]]
+            most = _fit(points, n, np.full(len(others), i), others, num, den)
+            found.append((np.full(int((most >= 0).sum()), i), others[most >= 0], most[most >= 0]))
+        return pa.Table.from_batches([_pair_rows(v, label, found)])
 
     return run
 
 
-def _tree_links(members: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links between labels within groups: (hub, v, label, n, point, d, k) to (a, b).
+PAIR = "a long, b long, la long, lb long, most long"
+
+
+def _tree_pairs(members: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of different labels that the R-trees let pass: (mark, v, label) and (v, n, point) to
+    (a, b, la, lb, most).
 
-    Each group's points are packed by size into leaves of about LEAF_SHINGLES shingles; a
+    One tree per mark. Its points are packed by size into leaves of LEAF points; a
     leaf's box has the greatest count of every coordinate and the range of sizes. Pairs of
     leaves go on only if the summed minima of their boxes allow the overlap that the
-    least sizes need. Points and then sets are compared within a pair of leaves.
+    least sizes need; then points are compared in the same way. A tree of one leaf
+    (most are) needs no boxes.
     """
-    members = materialise(members, "members")
-    packed = running_sum(members, ["hub"], "n", ["v"], "n", "_sum")
-    packed = materialise(packed.withColumn("leaf", F.floor(F.col("_sum") / LEAF_SHINGLES)).drop("_sum"), "leaves")
+    members = materialise(members.join(points, "v"), "members")
+    sizes = materialise(members.groupBy("mark").agg(F.count("*").alias("_n")).where(F.col("_n") > LEAF), "large")
+    small = members.join(sizes, "mark", "left_anti").select("mark", "v", "label", "n", "point")
+    found = small.repartition("mark").sortWithinPartitions("mark").mapInArrow(_small_groups(num, den), PAIR)
+
+    large = materialise(members.join(sizes.select("mark"), "mark").withColumn("one", F.lit(1)), "large-members")
+    packed = running_sum(large, ["mark"], "n", ["v"], "one", "_at")
+    packed = materialise(packed.withColumn("leaf", F.floor(F.col("_at") / LEAF)), "leaves")
     corner = F.array(*[F.max(F.get("point", F.lit(i))) for i in range(COORDINATES)])
-    boxes = packed.groupBy("hub", "leaf").agg(
+    boxes = packed.groupBy("mark", "leaf").agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), corner.alias("box"),
         F.min("label").alias("l0"), F.max("label").alias("l1"),
     )
     boxes = materialise(boxes, "boxes")
-    other = boxes.select("hub", *[F.col(c).alias(f"{c}_") for c in ("leaf", "lo", "hi", "box", "l0", "l1")])
-    bound = F.aggregate(F.zip_with("box", "box_", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
-    pairs = boxes.join(other, "hub").where(
+    other = boxes.select("mark", *[F.col(c).alias(f"{c}_") for c in ("leaf", "lo", "hi", "box", "l0", "l1")])
+    pairs = boxes.join(other, "mark").where(
         (F.col("leaf") <= F.col("leaf_"))
         & (F.col("hi") * den >= F.col("lo_") * num)
         & (F.col("hi_") * den >= F.col("lo") * num)
         & (F.least("l0", "l0_") != F.greatest("l1", "l1_"))
-        & (bound * (num + den) >= (F.col("lo") + F.col("lo_")) * num)
+        & (
+            (_bound("box", "box_") * (num + den) >= (F.col("lo") + F.col("lo_")) * num)
+            | (F.least("hi", "hi_") > MOST_COUNT)
+        )
     )
-    pairs = pairs.select("hub", F.col("leaf").alias("p"), F.col("leaf_").alias("q"))
+    pairs = pairs.select("mark", F.col("leaf").alias("p"), F.col("leaf_").alias("q"))
     sides = pairs.withColumn("leaf", F.explode(F.array_distinct(F.array("p", "q"))))
-    loaded = packed.join(texts, ["d", "k"]).select("hub", "leaf", "v", "label", "point", "text")
-    met = sides.join(loaded, ["hub", "leaf"])
-    return met.groupBy("hub", "p", "q").applyInArrow(_leaf_pair(k, num, den), "a long, b long")
+    met = sides.join(packed.select("mark", "leaf", "v", "label", "n", "point"), ["mark", "leaf"])
+    found = found.union(met.groupBy("mark", "p", "q").applyInArrow(_leaf_pair(num, den), PAIR))
+    return found.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("la", "lb", "most")])
+
+
+def _bound(a: str, b: str):
+    """The sum of coordinate minima of two count vectors."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x.cast("long"))
+
+
+def _verified(pairs: DataFrame, own: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Pairs (v, hub) with linked, judged on the whole sets of the texts in ``own`` (v, text)."""
+    hubs = own.select(F.col("v").alias("hub"), F.col("text").alias("hub_text"))
+    hot = hot_keys(pairs.groupBy("hub").agg(F.count("*").alias("n")), ["hub"])
+    both = salted_join(pairs.join(own, "v"), hubs, ["hub"], hot, "v")
+    schema = "v long, hub long, linked boolean"
+    return both.select("v", "hub", "text", "hub_text").mapInArrow(_verify(k, num, den), schema)
 
 
 def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -249,7 +330,7 @@ def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int],
         F.col(text).alias("text"),
     )
     kind = dict(rows.dtypes)["id"]
-    schema = f"id {kind}, d long, k long, n long, v long, v2 long, point array<int>, marks array<long>"
+    schema = f"id {kind}, d long, k long, n long, v long, v2 long, point array<smallint>, marks array<long>"
     found = materialise(rows.mapInArrow(_features(shingle, num, den), schema), "sets")
     some = found.where("n > 0")
     classes = some.groupBy("v").agg(F.min("d").alias("least"), F.min(F.struct("d", "k", "n", "point")).alias("one"))
@@ -263,30 +344,54 @@ def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int],
     met = salted_join(shared, groups.select("mark", "hub"), ["mark"], hot_keys(groups, ["mark"]), "v")
     met = materialise(met.where("v <> hub").distinct(), "met")
 
-    pairs = materialise(met.select("v", "hub").distinct(), "pairs")
-    bits = bitmap(pairs.join(classes, "v").select("k").union(pairs.join(classes.withColumnRenamed("v", "hub"), "hub").select("k")), "k")
-    texts = only_listed(rows, "k", bits).select("d", "k", "text").dropDuplicates(["d", "k"])
-    own = classes.select("v", "d", "k", "n").join(texts, ["d", "k"]).select("v", "n", "text")
-    hubs = own.select(F.col("v").alias("hub"), F.col("n").alias("_n"), F.col("text").alias("hub_text"))
-    hot = hot_keys(pairs.groupBy("hub").agg(F.count("*").alias("n")), ["hub"])
-    both = salted_join(pairs.join(own, "v"), hubs, ["hub"], hot, "v")
-    both = both.where((F.col("n") * den >= F.col("_n") * num) & (F.col("_n") * den >= F.col("n") * num))
-    checked = both.select("v", "hub", "text", "hub_text").mapInArrow(_verify(shingle, num, den), "v long, hub long, linked boolean")
+    points = classes.select("v", "n", "point")
+    pairs = met.select("v", "hub").distinct().join(points, "v").join(
+        points.select(*[F.col(c).alias(x) for c, x in (("v", "hub"), ("n", "_n"), ("point", "_point"))]), "hub"
+    )
+    likely = (
+        (F.col("n") * den >= F.col("_n") * num)
+        & (F.col("_n") * den >= F.col("n") * num)
+        & (
+            (_bound("point", "_point") * (num + den) >= (F.col("n") + F.col("_n")) * num)
+            | (F.least("n", "_n") > MOST_COUNT)
+        )
+    )
+    pairs = materialise(pairs.where(likely).select("v", "hub"), "pairs")
+    needed = classes.select("v", "d", "k")
+
+    def texts_of(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        wanted = pairs.select(F.col(a).alias("v")).union(pairs.select(F.col(b).alias("v"))).distinct().join(needed, "v")
+        texts = only_listed(rows, "k", bitmap(wanted, "k")).select("d", "k", "text").dropDuplicates(["d", "k"])
+        return wanted.join(texts, ["d", "k"]).select("v", "text")
+
+    checked = _verified(pairs, texts_of(pairs, "v", "hub"), shingle, num, den)
     links = materialise(checked.where("linked").select(F.col("v").alias("a"), F.col("hub").alias("b")), "links")
     labels = components(links)
 
-    label = lambda c: labels.select(F.col("v").alias(c), F.col("label").alias(f"{c}_label"))
-    named = pairs.join(label("v"), "v", "left").join(label("hub"), "hub", "left")
-    apart = named.where(F.coalesce("v_label", "v") != F.coalesce("hub_label", "hub")).select("v", "hub")
-    apart = materialise(apart, "apart")
-    if not apart.isEmpty():
-        open_marks = met.join(apart, ["v", "hub"]).select("mark").distinct()
-        members = met.join(open_marks, "mark").select("hub", "v").distinct()
-        members = members.union(members.select("hub", F.col("hub").alias("v"))).distinct()
-        members = members.join(classes.drop("least"), "v").join(labels, "v", "left")
-        members = members.withColumn("label", F.coalesce("label", "v"))
-        more = materialise(_tree_links(members, texts, shingle, num, den), "links")
-        labels = components(links.union(more))
+    # every group's members are decided against its hub; what is left are pairs among the others
+    label = F.coalesce("label", "v")
+    labelled = materialise(met.select("mark", "v").join(labels, "v", "left").withColumn("label", label), "labelled")
+    mixed = labelled.groupBy("mark").agg(F.min("label").alias("_l0"), F.max("label").alias("_l1"), F.count("*").alias("n"))
+    mixed = materialise(mixed.where("_l0 <> _l1").select("mark", "n"), "mixed")
+    members = salted_join(labelled, mixed.select("mark"), ["mark"], hot_keys(mixed, ["mark"]), "v")
+    waiting = materialise(_tree_pairs(members, points, num, den), "waiting")
+    most = FIRST_PAIRS
+    while not waiting.isEmpty():
+        # the likeliest pairs of any two components first: most of the others then need no check
+        place = F.row_number().over(Window.partitionBy("la", "lb").orderBy(F.desc("most"), "a", "b"))
+        ranked = materialise(waiting.withColumn("_at", place), "ranked")
+        now = ranked.where(F.col("_at") <= most).select(F.col("a").alias("v"), F.col("b").alias("hub"))
+        checked = _verified(now, texts_of(now, "v", "hub"), shingle, num, den)
+        more = materialise(checked.where("linked").select(F.col("v").alias("a"), F.col("hub").alias("b")), "links")
+        waiting = ranked.where(F.col("_at") > most).drop("_at", "la", "lb")
+        if not more.isEmpty():
+            links = materialise(links.union(more), "links")
+            labels = components(links)
+        for side, name in (("a", "la"), ("b", "lb")):
+            of = labels.select(F.col("v").alias(side), F.col("label").alias(name))
+            waiting = waiting.join(of, side, "left").withColumn(name, F.coalesce(name, side))
+        waiting = materialise(waiting.where("la <> lb").select("a", "b", "la", "lb", "most"), "waiting")
+        most *= 8
 
     named = classes.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
     return found.drop("marks", "point"), named.select("v", "label", "least")
@@ -306,10 +411,12 @@ def near_duplicates(
     component_id is the least key reachable by links.
 
     Equal sets become one class. Classes meet where a part of their sets agrees (see
-    ``Parts``: no link can be missed); in each such group the least class is the hub, all
-    others are verified against it and components are formed. Groups that hold members
-    not joined to their hub go through an R-tree of count vectors, which finds the links
-    between different components without listing the pairs within one.
+    ``Parts``: no link can be missed); in each such group the least class is the hub, and
+    components are formed from the links to hubs. Groups that still hold different
+    components go through an R-tree of count vectors (shingles hashed into COORDINATES
+    groups), which lists no pairs within a component. A pair is verified on its whole
+    sets only if the summed minima of its two vectors reach the overlap needed, and the
+    likeliest pairs of any two components first, so that most others need no check.
 
     * null text and texts without words: empty set, linked with nothing, not even each
       other; component_id is the row's own key; fewer words than ``shingle``: one shingle;
