@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bitmaps import bitmap, listed, only_listed
 from .components import components
@@ -22,6 +23,7 @@ SIMILAR = (90, 100)
 COORDINATES = 256
 COARSE = 32
 MOST_COUNT = 32767
+FINE_FROM, FINE_MOST = 2048, 1 << 16
 LEAF = 1024
 FIRST_PAIRS = 4
 NO_ID = (1 << 63) - 1
@@ -89,13 +91,39 @@ def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * inter >= num * (len(a) + len(b) - inter)
 
 
+def _fine_counts(s: np.ndarray) -> bytes:
+    """Counts of a large set in about one group for eight shingles (a power of two)."""
+    groups = min(FINE_MOST, 1 << (len(s) // 8).bit_length())
+    return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32).tobytes()
+
+
+def _fine_fit(num: int, den: int):
+    """Pairs whose finer counts allow the overlap needed; pairs without such counts pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            passes = []
+            for x, y in zip(batch["fine"], batch["fine_"]):
+                if not (x.is_valid and y.is_valid):
+                    passes.append(True)
+                    continue
+                x, y = (np.frombuffer(c.as_buffer(), np.int32) for c in (x, y))
+                groups = min(len(x), len(y))
+                # the finer counts are summed to the coarser
+                x, y = (c.reshape(-1, groups).sum(0, dtype=np.int64) for c in (x, y))
+                passes.append(int(np.minimum(x, y).sum()) * (num + den) >= num * int(x.sum() + y.sum()))
+            yield batch.drop_columns(["fine", "fine_"]).filter(pa.array(passes, pa.bool_()))
+
+    return run
+
+
 def _features(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, parts = Hasher(space_words(), lower=True), Parts(num, den)
         mark = 0x9E3779B97F4A7C15
         for batch in batches:
             for row, data, offsets in slices(batch["text"]):
-                sizes, v, v2, points, marks, counts = [], [], [], [], [], []
+                sizes, v, v2, points, fine, marks, counts = [], [], [], [], [], [], []
                 for s in shingle_sets(hasher, data, offsets, k):
                     n = len(s)
                     spread = mix(s ^ np.uint64(SECOND))
@@ -104,6 +132,7 @@ def _features(k: int, num: int, den: int):
                     v2.append(mix(spread ^ np.uint64(mark)).sum(dtype=np.uint64))
                     count = np.bincount((s & np.uint64(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES)
                     points.append(np.minimum(count, MOST_COUNT).astype(np.int16))
+                    fine.append(_fine_counts(s) if n > FINE_FROM else None)
                     own = []
                     for c, p, slack in parts.of(n) if n else ():
                         part = (s >> np.uint64(32)) * np.uint64(p) >> np.uint64(32)
@@ -127,6 +156,7 @@ def _features(k: int, num: int, den: int):
                         "point": pa.ListArray.from_arrays(
                             np.arange(n + 1, dtype=np.int32) * COORDINATES, np.concatenate(points)
                         ),
+                        "fine": pa.array(fine, pa.binary()),
                         "marks": pa.ListArray.from_arrays(cuts, flat),
                     }
                 )
@@ -330,10 +360,10 @@ def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int],
         F.col(text).alias("text"),
     )
     kind = dict(rows.dtypes)["id"]
-    schema = f"id {kind}, d long, k long, n long, v long, v2 long, point array<smallint>, marks array<long>"
+    schema = f"id {kind}, d long, k long, n long, v long, v2 long, point array<smallint>, fine binary, marks array<long>"
     found = materialise(rows.mapInArrow(_features(shingle, num, den), schema), "sets")
     some = found.where("n > 0")
-    classes = some.groupBy("v").agg(F.min("d").alias("least"), F.min(F.struct("d", "k", "n", "point")).alias("one"))
+    classes = some.groupBy("v").agg(F.min("d").alias("least"), F.min(F.struct("d", "k", "n", "point", "fine")).alias("one"))
     classes = materialise(classes.select("v", "least", "one.*"), "classes")
 
     marks = some.select("v", F.explode("marks").alias("mark"))
@@ -356,7 +386,15 @@ def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int],
             | (F.least("n", "_n") > MOST_COUNT)
         )
     )
-    pairs = materialise(pairs.where(likely).select("v", "hub"), "pairs")
+    fines = classes.where("fine is not null").select("v", "fine")
+
+    def finer(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        for side, name in ((a, "fine"), (b, "fine_")):
+            pairs = pairs.join(fines.select(F.col("v").alias(side), F.col("fine").alias(name)), side, "left")
+        schema = T.StructType([f for f in pairs.schema.fields if f.name not in ("fine", "fine_")])
+        return pairs.mapInArrow(_fine_fit(num, den), schema)
+
+    pairs = materialise(finer(pairs.where(likely).select("v", "hub"), "v", "hub"), "pairs")
     needed = classes.select("v", "d", "k")
 
     def texts_of(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -374,7 +412,7 @@ def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int],
     mixed = labelled.groupBy("mark").agg(F.min("label").alias("_l0"), F.max("label").alias("_l1"), F.count("*").alias("n"))
     mixed = materialise(mixed.where("_l0 <> _l1").select("mark", "n"), "mixed")
     members = salted_join(labelled, mixed.select("mark"), ["mark"], hot_keys(mixed, ["mark"]), "v")
-    waiting = materialise(_tree_pairs(members, points, num, den), "waiting")
+    waiting = materialise(finer(_tree_pairs(members, points, num, den), "a", "b"), "waiting")
     most = FIRST_PAIRS
     while not waiting.isEmpty():
         # the likeliest pairs of any two components first: most of the others then need no check
@@ -394,7 +432,7 @@ def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int],
         most *= 8
 
     named = classes.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
-    return found.drop("marks", "point"), named.select("v", "label", "least")
+    return found.drop("marks", "point", "fine"), named.select("v", "label", "least")
 
 
 def near_duplicates(
