@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +36,18 @@ class Parts:
 
     Sets of at most ``limits[c]`` shingles make class c. Two similar sets, the larger in class c, differ
     in at most tau shingles; cut by hash range into tau + 1 + slack parts they agree in
-    at least slack + 1. If a set has at most slack empty parts, one of those is not empty.
-    Sets with more empty parts (very rare) also get a mark of their class: two sets that
-    agree in empty parts only both have it.
+    at least slack + 1. Parts of one shingle or none are weak: they agree too easily. If
+    a set has at most slack weak parts, one of the agreeing parts is not weak, and weak parts
+    get no mark. Sets with more weak parts mark those too, and those with more than slack
+    empty parts (very rare) their class as well: two sets that agree in weak, or in empty
+    parts only, are both of that kind. Slack allows for the weak parts expected.
     """
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.limits = [0]
+        mean = 0.85 * (den + num) / (2 * (den - num)) if den > num else 50.0
+        self.weak = 1.5 * math.exp(-mean) * (1 + mean)
 
     def of(self, n: int) -> list[tuple[int, int, int]]:
         """(class, parts, slack) for the classes in which a set of n shingles looks for partners."""
@@ -61,7 +66,7 @@ class Parts:
 
     def _class(self, c: int) -> tuple[int, int, int]:
         tau = 2 * self.limits[c] * (self.den - self.num) // (self.den + self.num)
-        slack = 2 if tau else 0
+        slack = 2 + int(self.weak * tau) if tau else 0
         return c, tau + 1 + slack, slack
 
 
@@ -138,7 +143,9 @@ def _features(k: int, num: int, den: int):
                         part = (s >> np.uint64(32)) * np.uint64(p) >> np.uint64(32)
                         begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
                         total = np.add.reduceat(spread, begin)
-                        own.append(mix(total + part[begin] * np.uint64(mark) + np.uint64(mix_one(c + 1))))
+                        made = mix(total + part[begin] * np.uint64(mark) + np.uint64(mix_one(c + 1)))
+                        strong = np.diff(np.append(begin, n)) > 1
+                        own.append(made[strong] if p - int(strong.sum()) <= slack else made)
                         if p - len(begin) > slack:
                             own.append(np.array([mix_one(mix_one(c + 1) ^ mark)], np.uint64))
                     counts.append(sum(map(len, own)))
