@@ -52,7 +52,7 @@ def safe_numeric(spark, sf):
 @query(
     "label_encode",
     f"""with {MESSY_ORDERS} select o_orderkey, case when label = 'F' then 1 else 0 end as by_value,
-    cast(trunc(coalesce(try_cast(nullif(price_text, '12d') as double), 0) / 1000) as integer) as by_number
+    cast(trunc(coalesce(try_cast(nullif(price_text, '12d') as double), 0) / 1000) as bigint) as by_number
     from messy"""
 )
 def label_encode(spark, sf):

@@ -132,7 +132,7 @@ def label_degenerate(spark, sf):
 
 @query(
     "label_alias",
-    f"""with {EVENTS}, s as (select * from ev order by md5(cast(event_id as varchar)), cast(event_id as varchar) limit 1000),
+    f"""with {EVENTS}, s as (select * from ev),
     p as (select 'outcome_text' as "column", trim(outcome_text) as v, bought from s union all select 'props', props, bought from s)
     select "column", count(*) as n_pairs, count(*) filter (v = bought) as n_equal,
     count(*) >= 50 and count(*) = count(*) filter (v = bought) as is_alias,
@@ -140,7 +140,7 @@ def label_degenerate(spark, sf):
     from p group by "column" """,
 )
 def label_alias(spark, sf):
-    return integrity.label_aliases(labelled_events(spark, sf), ["event_id"], "bought", ["outcome_text", "props"])
+    return integrity.label_aliases(labelled_events(spark, sf), "bought", ["outcome_text", "props"])
 
 
 FEATURES = ["value", "double_value", "two", "outcome_text", "user_id", "props", "event_id"]
@@ -247,7 +247,7 @@ INTEGRITY_FACTS = f"""with {EVENTS}, {_catalogue_sql()},
   s as (select user_id, ts, lag(ts) over (partition by user_id order by arrival) as prev from ev where ts is not null),
   o as (select count(*) as n from s where ts < prev),
   d as (select count(*) as n from (select user_id, ts from ev where ts is not null group by all having count(*) > 1)),
-  smp as (select * from ev order by md5(cast(event_id as varchar)), cast(event_id as varchar) limit 1000),
+  smp as (select * from ev),
   al as (select 'outcome_text' as f, count(*) as eq from smp union all select x, 0 from (values ('value'), ('double_value'), ('two'), ('user_id'), ('props'), ('event_id')) v(x)),
   f(source, code, subject, value, severity, bad) as (
     select 'row_identity', 'duplicate_keys', 'event_id', 0, 'hard', false

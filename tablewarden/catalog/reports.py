@@ -318,7 +318,7 @@ def hints_flat(spark, sf):
 @query(
     "hints_dedup",
     f"""with {REPORTS}, {HINTS} select * from h
-    qualify row_number() over (partition by run_id, code, evidence_path, source_module order by pos) = 1""",
+    qualify row_number() over (partition by run_id, code, evidence_path, stage, source_module order by pos) = 1""",
 )
 def hints_dedup(spark, sf):
     return _flat(dedup_hints(flat_hints(faulty_reports(spark, sf), UPSTREAM, max_hints=None)))
@@ -393,7 +393,7 @@ REASONS = """gate as (
     union all select run_id, 'step_status:' || stage || '.' || name || ':' || module_status, 'fix_findings_and_rerun' from r
       where ok and name in ('contract', 'readiness', 'row_identity') and module_status not in ('pass', 'warn', 'skipped')
     union all select run_id, 'failed:' || stage || '.' || name, 'fix_findings_and_rerun' from r where ok and module_status = 'fail'
-    union all select run_id, 'hint:row_identity:extreme_amount', 'resolve_hint' from f where ext > 0)"""
+    union all select run_id, 'hint:data_integrity.row_identity:extreme_amount', 'resolve_hint' from f where ext > 0)"""
 
 
 @query("release_reasons", f"with {REPORTS}, {REASONS} select run_id, reason, rem as remediation from gate")

@@ -63,4 +63,4 @@ def binary_label(df: DataFrame, label: str, positive: str | None) -> Column:
     if positive is not None:
         hit = strip(text_of(df, label)) == F.lit(str(positive).strip())
         return F.coalesce(hit.cast("int"), F.lit(0))
-    return F.coalesce(number_of(df, label), F.lit(0.0)).cast("int")
+    return F.coalesce(number_of(df, label), F.lit(0.0)).cast("long")

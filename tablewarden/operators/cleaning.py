@@ -366,7 +366,7 @@ def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) ->
             cur.schema  # analysis errors surface here, the input then stays as it was
             row(steps[-1], "hook", 1)
         except Exception as e:  # noqa: BLE001 - a failing hook is reported, the run goes on
-            row(steps[-1], "hook", 0, note=f"{type(e).__name__}: {e}"[:500])
+            row(steps[-1], "hook", 0, note=f"{type(e).__name__}: {e}")
 
     casts = {c: Cast.from_config(v or {}) for c, v in (config.get("numeric_cast_columns") or {}).items()}
     if casts:

@@ -107,7 +107,7 @@ def ks_drift(
     *,
     statistic_limit: float = 0.10,
     p_limit: float = 0.05,
-    top: int | None = 5,
+    top: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Kolmogorov-Smirnov distance of train against val and test per numeric feature.

@@ -34,17 +34,20 @@ def manifest(
     *,
     run_id: str | None = None,
     suffix: str = ".json",
-    max_files: int = 200,
+    max_files: int | None = None,
     by: str = "name",
     hashes: bool = True,
     preview: int = 30,
 ) -> DataFrame:
-    """The run's files with their hash.  The bounded list of names is fixed first, then read."""
+    """The run's files with their hash: all of them, or the first ``max_files``, whose names are fixed before they are read."""
     files = _files(spark, folder, suffix)
     if run_id:
         files = files.filter(F.col("file").endswith(f"_{run_id}{suffix}"))
     order = ["file"] if by == "name" else [F.desc("modificationTime"), "file"]
-    listed = files.select("path", "file", "length", "modificationTime").orderBy(*order).limit(max_files)
+    facts = ["path", "file", "length", "modificationTime"]
+    if max_files is None:
+        return _previewed(files.select(*facts, *[F.sha2("content", 256).alias("sha256")] * hashes), order, preview)
+    listed = files.select(*facts).orderBy(*order).limit(max_files)
     if not hashes:
         return _previewed(listed, order, preview)
     paths = [r["path"] for r in listed.select("path").collect()]  # at most max_files
@@ -62,7 +65,7 @@ def manifest(
 
 
 def _previewed(rows: DataFrame, order: list, preview: int) -> DataFrame:
-    """Number the (at most max_files) rows and mark those shown in the preview."""
+    """Number the rows and mark those shown in the preview."""
     numbered = rows.withColumn("file_no", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
     return numbered.withColumn("in_preview", F.col("file_no") <= preview)
 
@@ -72,19 +75,18 @@ def inventory(
     folder: str,
     *,
     suffix: str = ".json",
-    max_files: int = 2000,
+    max_files: int | None = None,
     page_size: int = 200,
-    max_pages: int = 5,
+    max_pages: int | None = None,
 ) -> DataFrame:
-    """Newest files first, in pages; no content is read."""
-    limit = min(max_files, page_size * max_pages)
+    """All files, newest first, in pages; no content is read. A limit the caller sets keeps the newest."""
     files = (
         _files(spark, folder, suffix)
         .select("file", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
-        .orderBy(F.desc("modified_at"), "file")
-        .limit(limit)
     )
-    # at most page_size * max_pages rows
+    limits = [max_files, page_size * max_pages if max_pages is not None else None]
+    if given := [x for x in limits if x is not None]:
+        files = files.orderBy(F.desc("modified_at"), "file").limit(min(given))
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("modified_at"), "file")
     return files.withColumn("file_no", F.row_number().over(order)).withColumns(
         {
@@ -132,7 +134,6 @@ def lineage_audit(
     runs: DataFrame | None = None,
     existing_paths: DataFrame | None = None,
     clean_table_required: bool = False,
-    max_examples: int = 20,
 ) -> DataFrame:
     """Breaks of lineage per run: (run_id, rule, subject).
 
@@ -183,8 +184,7 @@ def lineage_audit(
         lost = named.join(existing_paths.select("path"), "path", "left_anti")
         out.append(lost.select("run_id", F.lit("clean_table_not_found").alias("rule"), F.col("path").alias("subject")))
     found = union_all(out)
-    keyed = found.withColumn("_g", F.struct("run_id", "rule"))
-    return examples(keyed, "_g", ["subject"], max_examples).drop("_g", "example_no")
+    return found
 
 
 # --- release gate --------------------------------------------------------------------------------
@@ -260,7 +260,7 @@ def _hint_reasons(parsed: DataFrame, policy: Policy) -> DataFrame:
     hints = normalised(flat_hints(parsed.filter(F.col("report").isNotNull()), [], max_hints=None))
     blocking = hints.filter(F.col("severity_signal").isin(list(policy.blocking_severities)))
     return blocking.select(
-        "run_id", F.concat_ws(":", F.lit("hint"), "source_module", "code").alias("reason")
+        "run_id", F.concat_ws(":", F.lit("hint"), F.concat_ws(".", "stage", "source_module"), "code").alias("reason")
     ).distinct()
 
 
@@ -277,11 +277,11 @@ def release_reasons(parsed: DataFrame, policy: Policy, runs: DataFrame | None =
 
 
 def release_gate(
-    parsed: DataFrame, policy: Policy, runs: DataFrame | None = None, *, max_reasons: int = 200
+    parsed: DataFrame, policy: Policy, runs: DataFrame | None = None, *, max_reasons: int | None = None
 ) -> DataFrame:
     """One row per run: may it be released, and if not, why.
 
-    All reasons are counted; per run at most ``max_reasons`` are listed.
+    All reasons are counted and listed, or the first ``max_reasons`` of each run.
     """
     per_run = _run_reasons(parsed, policy, runs)
     texts = F.array().cast("array<string>")
@@ -289,7 +289,7 @@ def release_gate(
         hints = _hint_reasons(parsed, policy)
         counts = hints.groupBy("run_id").agg(F.count("*").alias("n_hints"))
         listed = (
-            examples(hints, "run_id", ["reason"], max_reasons)
+            (hints if max_reasons is None else examples(hints, "run_id", ["reason"], max_reasons))
             .groupBy("run_id")
             .agg(F.collect_list("reason").alias("hints"))
         )
@@ -305,6 +305,6 @@ def release_gate(
         "run_id",
         (n == 0).alias("releasable"),
         n.alias("n_reasons"),
-        F.array_sort(F.slice(all_reasons, 1, max_reasons)).alias("reasons"),
+        F.array_sort(all_reasons if max_reasons is None else F.slice(all_reasons, 1, max_reasons)).alias("reasons"),
         F.array_sort(F.array_distinct(actions)).alias("remediation"),
     )

@@ -12,8 +12,8 @@ from tablewarden.operators.findings import SEVERITIES
 from tablewarden.operators.reports import hints_of
 
 
-def flat_hints(reports: DataFrame, order: Sequence[tuple[str, str]], *, max_hints: int | None = 200) -> DataFrame:
-    """Hints in the order of their reports, each with its source; at most ``max_hints`` per run.
+def flat_hints(reports: DataFrame, order: Sequence[tuple[str, str]], *, max_hints: int | None = None) -> DataFrame:
+    """Hints in the order of their reports, each with its source; all, or the first ``max_hints`` per run.
 
     ``order`` lists (stage, name); other reports follow by stage and name.
     """
@@ -30,13 +30,14 @@ def flat_hints(reports: DataFrame, order: Sequence[tuple[str, str]], *, max_hint
 
 
 def dedup_hints(hints: DataFrame) -> DataFrame:
-    """The first hint of each (run, code, evidence path, source)."""
-    rest = [c for c in hints.columns if c not in ("run_id", "code", "evidence_path", "source_module")]
-    first = F.min_by(F.struct(*rest), F.struct("upstream_no", "stage", "pos"))
+    """The first hint of each (run, code, evidence path, stage, source)."""
+    keys = ["run_id", "code", "evidence_path", "stage", "source_module"]
+    rest = [c for c in hints.columns if c not in keys]
+    first = F.min_by(F.struct(*rest), F.struct("upstream_no", "pos"))
     return (
-        hints.groupBy("run_id", "code", "evidence_path", "source_module")
+        hints.groupBy(*keys)
         .agg(first.alias("_f"))
-        .select("run_id", "code", "evidence_path", "source_module", "_f.*")
+        .select(*keys, "_f.*")
     )
 
 

@@ -207,30 +207,22 @@ def risky_names(
 
 def label_aliases(
     df: DataFrame,
-    keys: Sequence[str],
     label: str,
     columns: Sequence[str],
     *,
-    sample_size: int = 1000,
     min_pairs: int = 50,
 ) -> DataFrame:
-    """Is a feature the label under another name: equal on every known pair of a fixed sample."""
-    rid = row_id(df, keys)
-    sample = (
-        df.select(
-            F.md5(rid).alias("_h"),
-            rid.alias("_id"),
-            norm_category(text_of(df, label)).alias("_y"),
-            *[norm_category(text_of(df, c)).alias(c) for c in columns],
-        )
-        .orderBy("_h", "_id")
-        .limit(sample_size)
-    )
-    long = sample.select("_y", *[f"`{c}`" for c in columns]).unpivot(["_y"], list(columns), "column", "value")
-    known = (F.col("_y") != MISSING_CATEGORY) & (F.col("value") != MISSING_CATEGORY)
-    pairs = long.groupBy("column").agg(
-        F.count_if(known).alias("n_pairs"),
-        F.count_if(known & (F.col("_y") == F.col("value"))).alias("n_equal"),
+    """Is a feature the label under another name: equal on every pair of known values of the table."""
+    texts = df.select(
+        norm_category(text_of(df, label)).alias("_y"), *[norm_category(text_of(df, c)).alias(c) for c in columns]
     )
+
+    def of(c: str) -> Column:
+        known = (F.col("_y") != MISSING_CATEGORY) & (F.col(f"`{c}`") != MISSING_CATEGORY)
+        equal = F.count_if(known & (F.col("_y") == F.col(f"`{c}`")))
+        return F.struct(F.lit(c).alias("column"), F.count_if(known).alias("n_pairs"), equal.alias("n_equal"))
+
+    # one row of counts over one scan, then a row per column
+    pairs = texts.agg(F.array(*[of(c) for c in columns]).alias("_p")).select(F.inline("_p"))
     alias = (F.col("n_pairs") >= min_pairs) & (F.col("n_pairs") == F.col("n_equal"))
     return pairs.withColumn("is_alias", alias).withColumn("status", F.when(alias, WARN).otherwise(PASS))

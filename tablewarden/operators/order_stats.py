@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.functions.numbers import nan_to_null
+
 DIRECT_LIMIT = 2_000_000
 SKETCH_ACCURACY = 10_000
 
@@ -173,8 +175,8 @@ def exact_quantiles(
     *,
     direct_limit: int = DIRECT_LIMIT,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of numeric columns, NULLs left out."""
-    df = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    """Linearly interpolated quantiles of numeric columns, NULL and NaN left out."""
+    df = df.select(*[nan_to_null(F.col(f"`{c}`").cast("double")).alias(c) for c in columns])
     counts = df.agg(*[F.count(f"`{c}`").alias(c) for c in columns]).first().asDict()
     ranks: dict[str, list[int]] = {}
     for c in columns:

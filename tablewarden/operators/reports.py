@@ -89,7 +89,7 @@ def report_payload(
         F.struct(
             F.lit(schema_version).alias("schema_version"),
             run_id.alias("run_id"),
-            F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp_utc"),
+            F.date_format(F.to_utc_timestamp(when, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp_utc"),
             F.struct(
                 stage.alias("stage"),
                 step.alias("step"),

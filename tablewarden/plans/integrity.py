@@ -78,7 +78,7 @@ def integrity_findings(
         findings(named, source="label_alignment", code="forbidden_name", subject=F.col("column"),
                  value=F.lit(1.0), severity="risk", bad=F.lit(True))
     )
-    aliases = integrity.label_aliases(df, keys, label, features)
+    aliases = integrity.label_aliases(df, label, features)
     out.append(
         findings(aliases, source="label_alignment", code="label_alias", subject=F.col("column"),
                  value=F.col("n_equal"), severity="risk", bad=bad)
@@ -135,14 +135,14 @@ def findings_summary(found: DataFrame, expected: Sequence[str] = (), **missing:
     )
 
 
-def findings_as_hints(found: DataFrame, run_id: str, *, max_hints: int = 200) -> DataFrame:
-    """Bad findings as event hints of a run, the most severe first, at most ``max_hints``."""
+def findings_as_hints(found: DataFrame, run_id: str, *, max_hints: int | None = None) -> DataFrame:
+    """Bad findings as event hints of a run, all of them, or the ``max_hints`` most severe."""
     order = F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("severity"))
+    bad = found.filter(F.col("status").isin(WARN, FAIL))
+    if max_hints is not None:
+        bad = bad.orderBy(order, "source", "code", "subject").limit(max_hints)
     return (
-        found.filter(F.col("status").isin(WARN, FAIL))
-        .orderBy(order, "source", "code", "subject")
-        .limit(max_hints)
-        .select(
+        bad.select(
             F.lit(run_id).alias("run_id"),
             F.col("source").alias("module"),
             F.concat_ws("_", "source", "code").alias("code"),

@@ -32,13 +32,15 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder that ``spark.checkpoint.dir`` names.
 
-    Only where the session names none (plain local tests) a temporary folder
-    of this machine is taken and recorded in the session.
+    A local session that names none (plain tests) gets a temporary folder of this machine;
+    on a cluster that is an error, because executors do not share such folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or "cluster" in master:
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tablewarden-")
-        spark.conf.set("tablewarden.scratch", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
