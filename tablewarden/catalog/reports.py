@@ -236,7 +236,7 @@ def reports_missing_impl(spark, sf):
 @query(
     "reports_latest",
     f"""with {REPORTS} select stage, name, run_id, ok as is_report from r
-    qualify row_number() over (partition by stage, name order by run_id desc) = 1""",
+    qualify row_number() over (partition by stage, name order by ok desc, run_id desc) = 1""",
 )
 def reports_latest(spark, sf):
     latest = reports.latest_reports(faulty_reports(spark, sf))
@@ -249,7 +249,7 @@ WANTED = "19950102"  # a Monday, whose manifest is missing
 @query(
     "reports_fallback",
     f"""with {REPORTS} select stage, name, run_id, run_id <> '{WANTED}' as fell_back from r
-    qualify row_number() over (partition by stage, name order by run_id = '{WANTED}' desc, run_id desc) = 1""",
+    qualify row_number() over (partition by stage, name order by ok desc, run_id = '{WANTED}' desc, run_id desc) = 1""",
 )
 def reports_fallback(spark, sf):
     chosen = reports.requested_or_latest(faulty_reports(spark, sf), WANTED)
@@ -260,7 +260,7 @@ def reports_fallback(spark, sf):
     "reports_preferred_name",
     f"""with {REPORTS} select run_id, stage, name, if(name = 'readiness', 'current', 'older') as mode from r
     where stage = 'data_quality' and name in ('readiness', 'contract', 'orchestrator')
-    qualify row_number() over (partition by run_id order by list_position(['readiness', 'contract', 'orchestrator'], name)) = 1""",
+    qualify row_number() over (partition by run_id order by ok desc, list_position(['readiness', 'contract', 'orchestrator'], name)) = 1""",
 )
 def reports_preferred_name(spark, sf):
     rows = faulty_reports(spark, sf).filter(F.col("stage") == "data_quality")

@@ -280,10 +280,23 @@ def map_values(df: DataFrame, columns: Sequence[str], mapping: Mapping) -> DataF
     return df.replace(dict(mapping), subset=present) if present and mapping else df
 
 
+def _takes(df: DataFrame, name: str, mapping: Mapping) -> bool:
+    """Whether the mapping's keys are of the column's kind; it leaves other columns as they are."""
+    if all(isinstance(k, bool) for k in mapping):
+        kind = T.BooleanType
+    else:
+        kind = T.StringType if any(isinstance(k, str) for k in mapping) else T.NumericType
+    return isinstance(df.schema[name].dataType, kind)
+
+
 def map_report(df: DataFrame, columns: Sequence[str], mapping: Mapping) -> DataFrame:
     """Per column: how many values the mapping will change or confirm."""
     present = [c for c in columns if c in df.columns]
-    hits = df.select(*[F.col(f"`{c}`").isin(list(mapping)).cast("int").alias(c) for c in present])
+
+    def hit(c: str) -> Column:
+        return F.col(f"`{c}`").isin(list(mapping)).cast("int") if _takes(df, c, mapping) else F.lit(0)
+
+    hits = df.select(*[hit(c).alias(c) for c in present])
     sums = hits.agg(*[F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in present])
     return sums.unpivot([], present, "column", "n_affected")
 

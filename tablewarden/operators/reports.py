@@ -125,8 +125,12 @@ def preview(df: DataFrame, rows: int = 3, columns: int = 5) -> DataFrame:
 
 def parse(reports: DataFrame) -> DataFrame:
     """Add ``report``, the parsed payload; NULL where the text is no complete JSON object."""
-    is_object = F.json_object_keys("payload").isNotNull() & strip(F.col("payload")).startswith("{")
-    return reports.withColumn("report", F.when(is_object, F.from_json("payload", REPORT_DDL)))
+    return reports.withColumn("report", F.when(is_readable(), F.from_json("payload", REPORT_DDL)))
+
+
+def is_readable() -> Column:
+    """Whether the payload is a complete JSON object."""
+    return F.coalesce(F.json_object_keys("payload").isNotNull() & strip(F.col("payload")).startswith("{"), F.lit(False))
 
 
 def _r(path: str) -> Column:
@@ -285,14 +289,18 @@ def upstream_blocks(parsed: DataFrame) -> DataFrame:
 
 
 def latest_reports(reports: DataFrame) -> DataFrame:
-    """The newest run of each (stage, name), by run id; names are compared whole."""
-    return _best(reports, F.struct("run_id"))
+    """The newest readable run of each (stage, name), by run id; names are compared whole.
+
+    A broken report is chosen only where there is no readable one.
+    """
+    return _best(reports, F.struct(is_readable().alias("readable"), "run_id"))
 
 
 def requested_or_latest(reports: DataFrame, run_id: str) -> DataFrame:
-    """Each (stage, name) of the wanted run, else of its newest run."""
+    """Each (stage, name) of the wanted run, else of its newest run; readable reports go before broken ones."""
     wanted = F.col("run_id") == F.lit(run_id)
-    return _best(reports, F.struct(wanted.alias("wanted"), "run_id")).withColumn(
+    order = F.struct(is_readable().alias("readable"), wanted.alias("wanted"), "run_id")
+    return _best(reports, order).withColumn(
         "fell_back", F.col("run_id") != F.lit(run_id)
     )
 
@@ -308,14 +316,17 @@ def _best(reports: DataFrame, order: Column) -> DataFrame:
 
 
 def preferred_name(reports: DataFrame, current: str, older: Sequence[str]) -> DataFrame:
-    """Per (run, stage) the report filed under ``current``, else under the first older name found."""
+    """Per (run, stage) the report filed under ``current``, else under the first older name found.
+
+    Readable reports go before broken ones.
+    """
     names = [current, *older]
     place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("name"))
     rest = [c for c in reports.columns if c not in ("run_id", "stage")]
     return (
         reports.filter(F.col("name").isin(names))
         .groupBy("run_id", "stage")
-        .agg(F.min_by(F.struct(*rest), place).alias("_best"))
+        .agg(F.min_by(F.struct(*rest), F.struct(~is_readable(), place)).alias("_best"))
         .select("run_id", "stage", "_best.*")
         .withColumn("mode", F.when(F.col("name") == current, "current").otherwise("older"))
     )

@@ -54,8 +54,8 @@ def jdbc_options(
 ) -> dict[str, str]:
     """Options for Spark's JDBC source.  ``env`` names the variables that hold the secrets.
 
-    A query wins over a table.  Partitioned reads need a table, since Spark
-    cannot split a ``query``.
+    A query wins over a table.  With a partition column the query is read as a
+    derived table, so that Spark splits it like a table.
     """
     values = os.environ if environ is None else environ
 
@@ -73,21 +73,23 @@ def jdbc_options(
     for name, option in (("sslmode", "sslmode"), ("connect_timeout", "connectTimeout")):
         if value := secret(name, needed=False):
             opts[option] = value
-    if query:
+    if query and not partition_column:
         opts["query"] = query
+    elif query:
+        opts["dbtable"] = f"({query}) q"
     elif table:
         opts["dbtable"] = f"{schema}.{table}" if schema else table
-        if partition_column:
-            if not bounds or not partitions:
-                raise ValueError("a partitioned read needs bounds and a number of partitions")
-            opts |= {
-                "partitionColumn": partition_column,
-                "lowerBound": str(bounds[0]),
-                "upperBound": str(bounds[1]),
-                "numPartitions": str(partitions),
-            }
     else:
         raise ValueError("a table or a query is needed")
+    if partition_column:
+        if not bounds or not partitions:
+            raise ValueError("a partitioned read needs bounds and a number of partitions")
+        opts |= {
+            "partitionColumn": partition_column,
+            "lowerBound": str(bounds[0]),
+            "upperBound": str(bounds[1]),
+            "numPartitions": str(partitions),
+        }
     return opts
 
 
