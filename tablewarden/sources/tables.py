@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,24 +18,69 @@ def read_csv(
     *,
     pattern: str = "*.csv",
     encoding: str = "utf-8",
+    multi_line: bool = False,
+    bad_rows: str | None = None,
 ) -> DataFrame:
     """CSV files of a folder with every column as text.
 
     Typing is left to the contract check and the cast step, where bad cells
     are counted instead of lost, so no types are inferred.  Without
-    ``columns`` the names come from the header line; with them, every file's
-    header must agree.
+    ``columns`` each file's header names its cells, and files are put together
+    by name; with them, every file's header must agree.
+
+    A row with more or fewer cells than its header stops the read, or, if
+    ``bad_rows`` names a column, that column holds the whole row (NULL
+    for the others).  Quotes within quotes are doubled; line breaks within
+    quotes need ``multi_line``, which reads a file in one task.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("encoding", encoding)
-        .option("pathGlobFilter", pattern)
-    )
+
+    def read(names: Sequence[str], paths: Sequence[str]) -> DataFrame:
+        reader = (
+            spark.read.option("header", True)
+            .option("encoding", encoding)
+            .option("pathGlobFilter", pattern)
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("enforceSchema", False)
+        )
+        kept = list(names)
+        if bad_rows is None:
+            # without column pruning, so that a row is judged whole whatever is selected
+            reader = reader.option("mode", "FAILFAST").option("columnPruning", False)
+        else:
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_rows)
+            kept.append(bad_rows)
+        return reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in kept])).csv(list(paths))
+
     if columns is not None:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(folder)
+        return read(columns, [folder])
+    groups = _header_groups(spark, folder, pattern, encoding)
+    if not groups:
+        raise FileNotFoundError(f"no file with a header line in {folder}")
+    parts = []
+    for paths in groups:
+        header = spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
+        names = header.option("multiLine", multi_line).csv(paths[0]).columns
+        # one header for all files: the folder itself, no list of paths
+        parts.append(read(names, [folder] if len(groups) == 1 else paths))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _header_groups(spark: SparkSession, folder: str, pattern: str, encoding: str) -> list[list[str]]:
+    """Paths of the files, grouped by their first line.
+
+    One pass over the lines; rows of a block keep their order, so the least
+    row id of a file's first block is its first line.  The driver gets one row
+    per header, with the paths that Spark's reader is then given.
+    """
+    lines = spark.read.option("pathGlobFilter", pattern).option("encoding", encoding).text(folder)
+    first = lines.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    heads = first.where("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    found = heads.groupBy(F.rtrim("header").alias("header")).agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    return [r["paths"] for r in found.orderBy(F.col("paths")[0]).collect()]
 
 
 DRIVERS = {"postgresql": "org.postgresql.Driver"}
