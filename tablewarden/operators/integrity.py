@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tablewarden.functions.numbers import ratio
 from tablewarden.functions.text import MISSING_CATEGORY, norm_category, row_id, text_of
 from tablewarden.operators.findings import FAIL, PASS, SKIPPED, WARN
-from tablewarden.operators.order_stats import bucket_count, ordered_buckets
+from tablewarden.operators.order_stats import bucket_count, ordered_buckets, text_rank
 from tablewarden.session import literal_rows
 
 # Parts of a column name that point at the label (label alignment check).
@@ -154,8 +154,10 @@ def out_of_order(
         seq = narrow.withColumn("previous_time", F.lag("_t").over(in_entity.orderBy("_o")))
         return seq.filter(F.col("_t") < F.col("previous_time")).select(*names)
 
-    buckets = ordered_buckets(narrow, ["_o"], pieces)["_o"]
-    cut = narrow.withColumn("_piece", buckets.of(F.col("_o")))
+    is_text = isinstance(narrow.schema["_o"].dataType, T.StringType)
+    placed = narrow.withColumn("_at", text_rank(narrow, "_o") if is_text else F.col("_o"))
+    buckets = ordered_buckets(placed, ["_at"], pieces)["_at"]
+    cut = placed.withColumn("_piece", buckets.of(F.col("_at")))
     seq = cut.withColumn("_prev", F.lag("_t").over(Window.partitionBy(*keys, "_piece").orderBy("_o")))
     inside = seq.filter(F.col("_t") < F.col("_prev")).select(
         *keys, F.col("_o").alias("order_value"), F.col("_t").alias("event_time"),

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewarden.functions.numbers import binary_label, ratio
 from tablewarden.functions.text import row_id, text_of
@@ -56,10 +57,7 @@ def stratum_quotas(counts: Mapping[int, int], drawn: int) -> dict[int, int]:
     """
     n = sum(counts.values())
     stays = n - drawn
-    if min(counts.values()) < 2:
-        raise _NoStrata("a class has fewer than 2 rows")
-    if drawn < len(counts) or stays < len(counts):
-        raise _NoStrata("a part is smaller than the number of classes")
+    _check_strata(len(counts), min(counts.values()), n, drawn)
     # integer arithmetic: floor and remainder of count * stays / n
     kept = {s: c * stays // n for s, c in counts.items()}
     remainder = {s: c * stays % n for s, c in counts.items()}
@@ -69,6 +67,21 @@ def stratum_quotas(counts: Mapping[int, int], drawn: int) -> dict[int, int]:
     return {s: counts[s] - kept[s] for s in counts}
 
 
+def _check_strata(classes: int, least: int, n: int, drawn: int) -> None:
+    if least < 2:
+        raise _NoStrata("a class has fewer than 2 rows")
+    if drawn < classes or n - drawn < classes:
+        raise _NoStrata("a part is smaller than the number of classes")
+
+
+def _class_counts(rows: DataFrame, drawn: int) -> dict[int, int]:
+    """Rows per class ``_y``, fetched only once one aggregate has shown that they can be stratified."""
+    counts = rows.groupBy("_y").agg(F.count("*").alias("n"))
+    seen = counts.agg(F.count("*").alias("k"), F.min("n").alias("least"), F.sum("n").alias("n")).first()
+    _check_strata(seen["k"], seen["least"], seen["n"], drawn)
+    return {r["_y"]: r["n"] for r in counts.collect()}
+
+
 @dataclass
 class HoldoutPlan:
     """Cut-offs of a fitted holdout split; ``assign`` applies them to any table with the keys."""
@@ -143,10 +156,7 @@ def fit_holdout(
         binary_label(df, label, positive).alias("_y"),
         known_label(df, label).alias("_known"),
     )
-    rows = base.groupBy("_known", "_y").agg(F.count("*").alias("n")).collect()  # one row per class
-    n_total = sum(r["n"] for r in rows)
-    classes = {r["_y"]: r["n"] for r in sorted(rows, key=lambda r: r["_y"]) if r["_known"]}
-    n_valid = sum(classes.values())
+    n_total, n_valid = base.agg(F.count("*"), F.count_if("_known")).first()
     if n_valid < 3:
         raise SplitError(f"at least 3 labelled rows are needed, got {n_valid}")
     n_train, n_val, n_test = part_sizes(n_valid, test_size, val_size)
@@ -160,6 +170,7 @@ def fit_holdout(
     quotas = {0: n_test}
     if test_by_class:
         try:
+            classes = _class_counts(valid, n_test)
             quotas = stratum_quotas(classes, n_test)
         except _NoStrata as e:
             used, reason, test_by_class, quotas = "random_fallback", str(e), False, {0: n_test}
@@ -173,16 +184,13 @@ def fit_holdout(
     val_by_class = how == "stratified"
     val_quotas = {0: n_val}
     if val_by_class:
-        if test_by_class:
-            left = {s: classes[s] - quotas[s] for s in classes}
-        else:
-            left = {r["_y"]: r["count"] for r in rest.groupBy("_y").count().orderBy("_y").collect()}
         try:
+            left = {s: classes[s] - quotas[s] for s in classes} if test_by_class else _class_counts(rest, n_val)
             val_quotas = stratum_quotas({s: c for s, c in left.items() if c}, n_val)
         except _NoStrata:
             val_by_class, val_quotas = False, {0: n_val}
             if used != "random_fallback":
-                used, reason = "random_fallback_val", "stratification failed on train/val split"
+                used, reason = "random_fallback_val", "the rows left after the test part allow no strata"
     stratum = "_y" if val_by_class else "_all"
     val_cut = _cuts(rest, stratum, val_quotas, n_valid - n_test, direct_limit)
 
@@ -275,6 +283,12 @@ def split_by_group(
 # --- time -----------------------------------------------------------------------------------
 
 
+def moment_of(df: DataFrame, column: str) -> Column:
+    """The column itself, or its timestamps if it is text."""
+    c = F.col(f"`{column}`")
+    return F.try_to_timestamp(c) if isinstance(df.schema[column].dataType, T.StringType) else c
+
+
 def split_by_time(
     df: DataFrame,
     column: str,
@@ -285,10 +299,11 @@ def split_by_time(
 ) -> DataFrame:
     """Oldest rows train, then val, newest test; rows of equal time stay together.
 
-    Each part ends at the first time that fills its quota.  Rows without a
-    time are excluded.
+    Each part ends at the first time that fills its quota.  Times in text are
+    read as timestamps; rows without a readable time are excluded.
     """
     _check_fractions(test_size, val_size)
+    out, df = df, df.withColumn(column, moment_of(df, column))
     kind = df.schema[column].dataType
     n = df.agg(F.count(f"`{column}`")).first()[0]
     if n < 3:
@@ -299,12 +314,12 @@ def split_by_time(
     at = values_at_ranks(
         df, {column: [n_train, n_train + n_val]}, counts={column: n}, direct_limit=direct_limit
     )
-    t = F.col(f"`{column}`")
+    t = moment_of(out, column)
     train_end, val_end = (F.lit(at[(column, r)]).cast(kind) for r in (n_train, n_train + n_val))
     part = (
         F.when(t.isNull(), EXCLUDED).when(t <= train_end, "train").when(t <= val_end, "val").otherwise("test")
     )
-    return df.withColumn("split", part)
+    return out.withColumn("split", part)
 
 
 # --- folds ----------------------------------------------------------------------------------
@@ -333,9 +348,11 @@ def assign_folds(
         (binary_label(df, label, positive) if stratified else F.lit(0)).alias("_y"),
         known_label(df, label).alias("_known"),
     ).filter("_known")
-    counts = {r["_y"]: r["n"] for r in base.groupBy("_y").agg(F.count("*").alias("n")).collect()}
-    if not counts or min(counts.values()) < folds:
+    per_class = base.groupBy("_y").agg(F.count("*").alias("n"))
+    # the least class is looked at before any class is fetched
+    if (per_class.agg(F.min("n")).first()[0] or 0) < folds:
         raise SplitError(f"every class needs at least {folds} labelled rows")
+    counts = {r["_y"]: r["n"] for r in per_class.collect()}
     ends = {s: [c * (f + 1) // folds for f in range(folds - 1)] for s, c in counts.items()}
     tokens = base.withColumn("_t", hash_token(F.col("_id"), seed))
     at = tokens_at_ranks(tokens, "_t", "_y", ends, sum(counts.values()), direct_limit=direct_limit)
@@ -354,11 +371,12 @@ def assign_folds(
 
 def split_advice(
     df: DataFrame, *, time_column: str | None, entity: Sequence[str], risky: DataFrame | None = None,
-    max_examples: int = 10,
+    max_examples: int | None = None,
 ) -> DataFrame:
     """Which strategy the data asks for: time_based with times, group with repeating entities.
 
-    ``risky`` is a leakage catalogue; its high-risk features are listed.
+    ``risky`` is a leakage catalogue; its high-risk features are listed: all, or the
+    first ``max_examples`` with their full count beside them.
     """
     has_time = F.count_if(F.col(f"`{time_column}`").isNotNull()) if time_column else F.lit(0).cast("long")
     repeats = (
@@ -375,9 +393,11 @@ def split_advice(
         "n_with_time", repeats.scalar().alias("n_repeating_entities")
     ).withColumn("recommended", advice)
     if risky is not None:
-        names = (
-            risky.filter(F.col("risk") == "high").orderBy("feature").limit(max_examples)
-            .agg(F.array_join(F.array_sort(F.collect_list("feature")), ",").alias("f"))
-        )
+        # one row per feature
+        high = risky.filter(F.col("risk") == "high").select("feature")
+        shown = high if max_examples is None else high.orderBy("feature").limit(max_examples)
+        names = shown.agg(F.array_join(F.array_sort(F.collect_list("feature")), ",").alias("f"))
         out = out.withColumn("risky_features", names.scalar())
+        if max_examples is not None:
+            out = out.withColumn("n_risky_features", high.agg(F.count("*")).scalar())
     return out
