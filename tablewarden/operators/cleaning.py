@@ -226,8 +226,8 @@ def _join_frequent(df: DataFrame, column: str, frequent: DataFrame, other: str)
     """Rare bucketing where the frequent levels are too many for literals.
 
     Hot levels (at most 1,000 can hold a thousandth of the rows each) are
-    literals; their rows join under salted keys that match nothing, so no
-    join partition collects a hot level.
+    literals; their rows stay out of the join, so no join partition collects
+    a hot level.
     """
     mine = frequent.filter(F.col("column") == column)
     text = F.col(f"`{column}`").cast("string")
@@ -241,13 +241,14 @@ def _join_frequent(df: DataFrame, column: str, frequent: DataFrame, other: str)
         return F.coalesce(F.concat(F.lit("v"), c), F.lit("null"))
 
     names = df.columns
-    salt = F.concat(F.lit("hot"), F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in names]), F.lit(4096)))
-    keyed = df.withColumn("_key", F.when(is_hot, salt).otherwise(key(text)))
+    hot_rows = df.filter(is_hot).select(*[text.alias(n) if n == column else F.col(f"`{n}`") for n in names])
+    keyed = df.filter(~is_hot).withColumn("_key", key(text))
     lookup = mine.select(key(F.col("value")).alias("_key"), F.lit(True).alias("_frequent"))
-    keep = is_hot | F.col("_frequent").isNotNull()
-    return keyed.join(lookup, "_key", "left").select(
+    keep = F.col("_frequent").isNotNull()
+    joined = keyed.join(lookup, "_key", "left").select(
         *[F.when(keep, text).otherwise(F.lit(other)).alias(n) if n == column else F.col(f"`{n}`") for n in names]
     )
+    return joined.union(hot_rows)
 
 
 def rare_report(
