@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.numbers import ratio
-from tablewarden.operators.findings import FAIL, SKIPPED, WARN, union_all
+from tablewarden.operators.findings import FAIL, PASS, SKIPPED, WARN, union_all
 from tablewarden.operators.hints import flat_hints, normalised
 from tablewarden.operators.reports import Step, module_status
 from tablewarden.operators.segments import examples
@@ -224,8 +224,14 @@ def _run_reasons(parsed: DataFrame, policy: Policy, runs: DataFrame | None) -> D
     steps = [f"{s.stage}.{s.name}" for s in policy.steps if s.enabled and f"{s.stage}.{s.name}" not in required]
     asked = [*required, *steps]
     failed = F.when(F.col("status") == FAIL, F.col("place"))
+    # should a place hold several reports, the worst status counts
+    badness = F.array_position(F.array(*[F.lit(s) for s in (PASS, SKIPPED, WARN, FAIL)]), F.col("status"))
+
+    def worst(place: str) -> Column:
+        return F.max_by("status", F.when(F.col("place") == place, badness))
+
     per_run = state.groupBy("run_id").agg(
-        *[F.max(F.when(F.col("place") == p, F.col("status"))).alias(f"s{i}") for i, p in enumerate(asked)],
+        *[worst(p).alias(f"s{i}") for i, p in enumerate(asked)],
         # a run files one report per place, so this set is as small as the set of steps
         F.collect_set(failed).alias("_failed"),
     )

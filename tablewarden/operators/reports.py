@@ -44,6 +44,8 @@ REPORT_DDL = f"""
 HINT_DDL = f"struct<code: string, severity_signal: string, evidence_path: string, context: {_DICT}, remediation: {_DICT}>"
 HINTS_DDL = f"array<{HINT_DDL}>"
 HINTS_PATH = "$.checks.event_hints.hints"
+# Issue codes that readers of reports look for.
+MISSING_REPORT, MISSING_STEP, RAISED = "missing_module_report", "missing_step_implementation", "module_exception"
 
 
 # --- building -----------------------------------------------------------------------------
@@ -73,12 +75,23 @@ def report_payload(
     hints: Column,
     metrics: Column | None = None,
     extra_checks: dict[str, Column] | None = None,
+    inputs: Column | None = None,
+    thresholds: Column | None = None,
+    used_config: Column | None = None,
+    refs: Column | None = None,
+    notes: Column | None = None,
     schema_version: int = 1,
     timestamp: Column | None = None,
 ) -> Column:
-    """A complete report as JSON text: status normalised and mirrored, lists merged, NaN left out."""
+    """A complete report as JSON text: status normalised and mirrored, lists merged, NaN left out.
+
+    ``inputs``, ``thresholds``, ``used_config`` and ``refs`` are maps or structs, ``notes`` is a list of
+    texts.  A status outside the known ones stops the job.
+    """
     empty = F.create_map().cast(_DICT)
     status = F.lower(strip(status))
+    refused = F.raise_error(F.concat(F.lit("no report status: "), F.coalesce(status, F.lit("null")))).cast("string")
+    status = F.when(F.coalesce(status.isin(STATUSES), F.lit(False)), status).otherwise(refused)
     none = F.array().cast(_TEXTS)
     checks = F.struct(
         F.struct(F.lit(1).alias("version"), hints.cast(HINTS_DDL).alias("hints")).alias("event_hints"),
@@ -105,10 +118,13 @@ def report_payload(
                 merge_lists(issues, none).alias("issues"),
                 merge_lists(warnings, none).alias("warnings"),
                 (empty if metrics is None else metrics.cast(_DICT)).alias("metrics"),
-                none.alias("notes"),
+                merge_lists(none if notes is None else notes, none).alias("notes"),
             ).alias("summary"),
             status.alias("status"),
-            *[empty.alias(k) for k in ("inputs", "thresholds_used", "used_config", "refs")],
+            *[
+                (empty if c is None else c).alias(k)
+                for k, c in zip(("inputs", "thresholds_used", "used_config", "refs"), (inputs, thresholds, used_config, refs))
+            ],
             checks.alias("checks"),
         ),
         {"ignoreNullFields": "false"},
@@ -267,7 +283,7 @@ def non_empty(c: Column) -> Column:
 
 
 def has_missing_module_report() -> Column:
-    return F.array_contains(warnings(), "missing_module_report")
+    return F.array_contains(warnings(), MISSING_REPORT)
 
 
 def upstream_blocks(parsed: DataFrame) -> DataFrame:
@@ -370,16 +386,19 @@ def missing_step_reports(reports: DataFrame, steps: Sequence[Step], runs: DataFr
     gone = expected_reports(reports if runs is None else runs, steps).join(
         reports.select("run_id", "stage", "name"), ["run_id", "stage", "name"], "left_anti"
     )
-    issue = F.array(F.lit("missing_step_implementation"))
-    return gone.select("stage", "name", "run_id", failed_payload(issue).alias("payload"))
+    issue = F.lit(MISSING_STEP)
+    payload = failed_payload(issue, "missing_impl", issue, {"infra": F.struct(issue.alias("error"))})
+    return gone.select("stage", "name", "run_id", payload.alias("payload"))
 
 
-def failed_payload(issue: Column) -> Column:
-    zero, none = F.lit(0), F.array().cast(_TEXTS)
+def failed_payload(issue: Column, cause: str, note: Column, evidence: dict[str, Column]) -> Column:
+    """The failing report of a step that left none: ``cause`` marks the inputs, ``evidence`` goes to the checks."""
     return report_payload(
         stage=F.col("stage"), step=F.col("name"), name=F.col("name"), run_id=F.col("run_id"),
-        total_rows=zero, total_cols=zero, status=F.lit(FAIL), issues=issue, warnings=none,
-        hints=F.array().cast(HINTS_DDL),
+        total_rows=F.lit(0), total_cols=F.lit(0), status=F.lit(FAIL), issues=F.array(issue),
+        warnings=F.array().cast(_TEXTS), hints=F.array().cast(HINTS_DDL), notes=F.array(note), extra_checks=evidence,
+        inputs=F.struct(F.lit(True).alias("orchestrator"), F.lit(True).alias(cause)),
+        used_config=F.struct(F.concat_ws(".", F.lit("pipeline"), "stage", "name").alias("cfg_key")),
     )
 
 
@@ -390,13 +409,8 @@ def exception_report(spark: SparkSession, *, stage: str, name: str, run_id: str,
         [(stage, name, run_id, type(error).__name__, repr(error))],
         "stage string, name string, run_id string, error_type string, error_repr string",
     )
-    none = F.array().cast(_TEXTS)
-    payload = report_payload(
-        stage=F.col("stage"), step=F.col("name"), name=F.col("name"), run_id=F.col("run_id"),
-        total_rows=F.lit(0), total_cols=F.lit(0), status=F.lit(FAIL),
-        issues=F.array(F.lit("module_exception")), warnings=none, hints=F.array().cast(HINTS_DDL),
-        extra_checks={"exception": F.struct("error_type", "error_repr")},
-    )
+    evidence = {"exception": F.struct("error_type", "error_repr")}
+    payload = failed_payload(F.lit(RAISED), "exception_fallback", F.col("error_repr"), evidence)
     return row.select("stage", "name", "run_id", payload.alias("payload"))
 
 

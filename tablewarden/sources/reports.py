@@ -13,9 +13,9 @@ SAFE_PART = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
 
 def write_reports(reports: DataFrame, folder: str, *, stages: Sequence[str] = tuple(STAGES)) -> None:
-    """Append report rows as Parquet, one folder per stage.
+    """Append report rows as Parquet with the time of filing, one folder per stage.
 
-    A stage outside the list, or a name or run id that could leave the folder,
+    Earlier filings stay on disk; readers take the newest.  A stage outside the list, or a name or run id that could leave the folder,
     stops the write.
     """
     safe = F.col("name").rlike(SAFE_PART) & F.col("run_id").rlike(SAFE_PART)
@@ -24,15 +24,15 @@ def write_reports(reports: DataFrame, folder: str, *, stages: Sequence[str] = tu
     stage = F.when(F.coalesce(good, F.lit(False)), F.col("stage")).otherwise(
         F.raise_error(F.concat(F.lit("report may not be filed: "), text)).cast("string")
     )
-    reports.select("name", "run_id", "payload", stage.alias("stage")).write.mode("append").partitionBy(
-        "stage"
-    ).parquet(folder)
+    rows = reports.select("name", "run_id", "payload", F.current_timestamp().alias("filed_at"), stage.alias("stage"))
+    rows.write.mode("append").partitionBy("stage").parquet(folder)
 
 
 def read_reports(spark: SparkSession, folder: str) -> DataFrame:
-    """Report rows written by ``write_reports``, parsed."""
-    df = spark.read.schema("name string, run_id string, payload string, stage string").parquet(folder)
-    return parse(df.select("stage", "name", "run_id", "payload"))
+    """Report rows written by ``write_reports``, parsed; of one stage, name and run the newest filing."""
+    df = spark.read.schema("name string, run_id string, payload string, filed_at timestamp, stage string").parquet(folder)
+    newest = F.max_by("payload", F.struct("filed_at", "payload"))
+    return parse(df.groupBy("stage", "name", "run_id").agg(newest.alias("payload")))
 
 
 def read_report_files(
