@@ -85,6 +85,19 @@ def split_stratified_buckets(spark, sf):
     return _fit(df, "stratified", direct_limit=200).assign(df).select("o_orderkey", "label", "split")
 
 
+@query(
+    "split_fallback",
+    f"""with {RANDOM} select o_orderkey, split, 'stratified' as strategy_requested, 'random_fallback' as strategy_used,
+    'a class has fewer than 2 rows' as fallback_reason from assigned""",
+)
+def split_fallback(spark, sf):
+    """A label with a value of its own in every row allows no strata: the split is drawn at random."""
+    df = _orders(spark, sf).withColumn("amount", F.when(F.col("label").isNotNull(), F.col("o_orderkey").cast("double")))
+    plan = splits.fit_holdout(df, label="amount", keys=["o_orderkey"], strategy="stratified")
+    report = {"strategy_requested": plan.strategy_requested, "strategy_used": plan.strategy_used, "fallback_reason": plan.fallback_reason}
+    return plan.assign(df).select("o_orderkey", "split", *[F.lit(v).alias(k) for k, v in report.items()])
+
+
 def _share(p: str) -> str:
     return f"round(count(*) filter (split = '{p}') / count(*), 4) as pct_{p}"
 
