@@ -217,9 +217,10 @@ def fit(
     the driver gets; labels other than 0 and 1 and keys without a document teach nothing."""
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(key)).groupBy(key).agg(F.min(label).alias("quality"))
     known = known.withColumn("o", F.xxhash64(key))
-    rows = docs.select(key, text).join(known, key).select("o", F.col(text).alias("text"), "quality")
-    first = known.orderBy("o").limit(2 * sample).agg(F.max("o")).first()[0]
-    rows = rows.where(F.col("o") <= F.lit(first if first is not None else 0)).withColumn("h", F.xxhash64("text"))
+    # the bound is taken among keys that have a document; only their texts are read
+    chosen = known.join(docs.select(key).distinct(), key, "left_semi").orderBy("o", key).limit(sample)
+    rows = docs.select(key, text).join(F.broadcast(chosen), key).select("o", F.col(text).alias("text"), "quality")
+    rows = rows.withColumn("h", F.xxhash64("text"))
     kind = dict(rows.dtypes)["quality"]
     counted = rows.mapInArrow(_terms, f"o long, h long, quality {kind}, ids binary, counts binary, shapes binary")
     got = counted.orderBy("o", "h").limit(sample).collect()
