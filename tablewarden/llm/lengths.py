@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,6 +19,24 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: how the vocabulary's authors cut text before merging
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 SPAN = 256
+# what the pattern calls white space, in runs so long that its backtracking may end in an error
+BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LONG_BLANKS = re.compile(rf"(?<!{BLANK}){BLANK}{{10000,}}")
+
+
+def count_tokens(encoding, text: str) -> int:
+    """Tokens of a text under PATTERN, whatever the length of its runs of white space.
+
+    The pattern cuts a run of two or more as one piece: all of it at the end of the text,
+    else all but the last blank, which stays with what follows. So long runs are cut out
+    and merged by themselves, and the pattern sees the texts between them.
+    """
+    n = at = 0
+    for run in LONG_BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        n += len(encoding.encode_ordinary(text[at : run.start()])) + len(encoding._encode_single_piece(text[run.start() : end]))
+        at = end
+    return n + len(encoding.encode_ordinary(text[at:]))
 
 
 def _lengths(ranks_path: str, pattern: str, text: str):
@@ -27,8 +46,10 @@ def _lengths(ranks_path: str, pattern: str, text: str):
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        # other patterns may cut white space elsewhere
+        count = count_tokens if pattern == PATTERN else lambda e, t: len(e.encode_ordinary(t))
         for batch in batches:
-            n = [len(encoding.encode_ordinary(t.as_py())) if t.is_valid else 0 for t in batch[text]]
+            n = [count(encoding, t.as_py()) if t.is_valid else 0 for t in batch[text]]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.array(n, np.int64))], names=[*batch.schema.names, "length"]
             )
