@@ -143,10 +143,11 @@ def repeated_spans(
     Texts are walks through a De Bruijn graph over word grams, of which only nodes that are
     the least of some window are kept, so that any two equal windows pass the same node.
     Nodes that occur once are dropped. Where all walks through a node agree in all the
-    words around it the path does not branch: its windows are repeated as they stand,
-    and paths run on from edge to edge by their source coordinates. At a branching
-    node, equal edges are joined and compacted to one each; the windows of these are then
-    unrolled from the source text at their coordinates, and counted.
+    words around it the path does not branch: its windows are repeated as they stand.
+    Edges that follow one another are not merged to longer paths; their windows meet by
+    coordinates when the text is cut. At a branching node, equal edges are joined and
+    compacted to one each; the windows of these are then unrolled from the source text at
+    their coordinates, and counted.
     """
     rows = _rows(docs, key, text)
     kind = dict(rows.dtypes)["id"]
