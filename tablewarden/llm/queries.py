@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard, lengths, lines, mixing, quality, sharding, spans, url_lists
+from . import ann, decontam, jaccard, lengths, lines, mixing, quality, sharding, spans, turns, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -181,3 +181,10 @@ select doc_id, size, source_size, target,
        (greatest(0, least(size, whole - pos)) + greatest(0, least(size, whole - source_size - pos)))::bigint as taken
 from a
 """
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and its audit of every conversation, after planted damage."""
+    conversations = table(spark, sf_dir, "conversations")
+    return turns.audit(turns.damage(conversations), conversations)
