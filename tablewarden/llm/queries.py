@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard, lengths, lines, mixing, quality, sharding, spans, turns, url_lists
+from . import ann, decontam, jaccard, lengths, lines, mixing, quality, sharding, spans, spelling, turns, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -188,3 +188,9 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest repair and its audit of every conversation, after planted damage."""
     conversations = table(spark, sf_dir, "conversations")
     return turns.audit(turns.damage(conversations), conversations)
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their more frequent spellings, after planted deletions."""
+    return spelling.variants(spelling.damaged_words(table(spark, sf_dir, "documents")))
