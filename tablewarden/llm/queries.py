@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard, lengths, lines, mixing, quality, sharding, spans, spelling, turns, url_lists
+from . import ann, decontam, jaccard, lengths, lines, mixing, quality, sharding, spans, spelling, suffixes, turns, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -190,6 +190,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.audit(turns.damage(conversations), conversations)
 
 
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that start more than once, removed from every document."""
+    return suffixes.drop_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their more frequent spellings, after planted deletions."""
