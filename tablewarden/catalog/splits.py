@@ -159,30 +159,46 @@ def _by_time(spark, sf, **more):
     return splits.split_by_time(table(spark, sf, "lineitem"), "l_shipdate", **more)
 
 
-@query(
-    "split_time",
-    f"with {TIME} select l_orderkey, l_linenumber, l_partkey, l_shipdate, split from assigned",
-)
+SPLIT_TIME = f"with {TIME} select l_orderkey, l_linenumber, l_partkey, l_shipdate, split from assigned"
+
+
+def _time_columns(df):
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "split")
+
+
+@query("split_time", SPLIT_TIME)
 def split_time(spark, sf):
+    return _time_columns(_by_time(spark, sf))
+
+
+@query("split_time_buckets", SPLIT_TIME)
+def split_time_buckets(spark, sf):
     # a small limit sends the search for the two cut-offs through its narrowing passes
-    df = _by_time(spark, sf, direct_limit=1000)
-    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "split")
+    return _time_columns(_by_time(spark, sf, direct_limit=1000))
 
 
-@query(
-    "split_cv",
-    f"""with {ORDERS}, v as (select *, if(label = 'F', 1, 0) as y from ord where label is not null),
+SPLIT_CV = f"""with {ORDERS}, v as (select *, if(label = 'F', 1, 0) as y from ord where label is not null),
     r as (select *, row_number() over (partition by y order by {_hash('o_orderkey', 42)}) as r, count(*) over (partition by y) as c from v)
     select o.o_orderkey, o.label, case when r <= c // 5 then 0 when r <= 2 * c // 5 then 1 when r <= 3 * c // 5 then 2
       when r <= 4 * c // 5 then 3 when r is not null then 4 end as fold
-    from ord o left join r using (o_orderkey)""",
-)
-def split_cv(spark, sf):
-    df = _orders(spark, sf)
-    folds = splits.assign_folds(df, label="label", positive="F", keys=["o_orderkey"], direct_limit=2000)
+    from ord o left join r using (o_orderkey)"""
+
+
+def _folds(spark, sf, **more):
+    folds = splits.assign_folds(_orders(spark, sf), label="label", positive="F", keys=["o_orderkey"], **more)
     return folds.select("o_orderkey", "label", "fold")
 
 
+@query("split_cv", SPLIT_CV)
+def split_cv(spark, sf):
+    return _folds(spark, sf)
+
+
+@query("split_cv_buckets", SPLIT_CV)
+def split_cv_buckets(spark, sf):
+    return _folds(spark, sf, direct_limit=2000)
+
+
 @query(
     "split_constraints",
     f"""with {EVENTS} select count(ts) as n_with_time,
@@ -288,15 +304,23 @@ KS_FEATURES = {c: c for c in ("l_quantity", "l_extendedprice", "l_discount", "l_
 }
 
 
-@query(
-    "ks_drift",
-    f"""with {TIME}, {_ks_sql(KS_FEATURES)} select feature, pair, round(d, 6) as statistic, round(p, 4)::double as p_value, p < 0.05 as p_flagged,
-    if(d > 0.1, 'warn', 'pass') as status from ks2""",
-)
+KS_SQL = f"""with {TIME}, {_ks_sql(KS_FEATURES)} select feature, pair, round(d, 6) as statistic, round(p, 4)::double as p_value, p < 0.05 as p_flagged,
+    if(d > 0.1, 'warn', 'pass') as status from ks2"""
+
+
+def _with_days(spark, sf):
+    return _by_time(spark, sf).withColumn("days", F.datediff("l_shipdate", F.lit("1970-01-01")).cast("double"))
+
+
+@query("ks_drift", KS_SQL)
 def ks_drift(spark, sf):
-    # small buckets, so that the running sums are put together from many pieces
-    df = _by_time(spark, sf).withColumn("days", F.datediff("l_shipdate", F.lit("1970-01-01")).cast("double"))
-    return drift.ks_drift(df, list(KS_FEATURES), rows_per_bucket=5_000)
+    return drift.ks_drift(_with_days(spark, sf), list(KS_FEATURES))
+
+
+@query("ks_drift_buckets", KS_SQL)
+def ks_drift_buckets(spark, sf):
+    # small limits, so that cells are cut again and their values put together from many pieces
+    return drift.ks_drift(_with_days(spark, sf), list(KS_FEATURES), rows_per_bucket=50)
 
 
 SPLIT_FACTS = f"""with {STRATIFIED}, {OVERLAP}, {INVERSION}, {BALANCE.format(pos="label = 'F'")}, {SIZES},

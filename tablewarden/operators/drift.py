@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablewarden.functions.numbers import number_of, ratio
 from tablewarden.functions.text import MISSING_KEY_PART
 from tablewarden.operators.findings import FAIL, PASS, WARN
-from tablewarden.operators.order_stats import bucket_count, ordered_buckets
+from tablewarden.operators.ks_search import PARTS, KsSearch
 from tablewarden.operators.splits import EXCLUDED
 
 # The smallest acceptable parts.
@@ -112,62 +112,20 @@ def ks_drift(
 ) -> DataFrame:
     """Kolmogorov-Smirnov distance of train against val and test per numeric feature.
 
-    Values are counted per (feature, value) first, which shrinks repeated
-    values before the shuffle.  The running sums need an order: where the
-    table is large each feature is cut into ordered buckets, summed up within
-    the buckets in parallel and shifted by the sums of the buckets before.
+    The gap is searched by branch and bound (:class:`KsSearch`): counts per cell of values
+    rule out most cells, and only the values of the others are shuffled and ordered, at most
+    ``rows_per_bucket`` rows of a cell in one task.  Totals become literals.
     """
-    part, sums = F.col("split"), ("train", "val", "test")
-    rows = assigned.filter(part.isin(*sums))
+    rows = assigned.filter(F.col("split").isin(*PARTS))
     numbers = rows.select("split", *[number_of(rows, c).alias(c) for c in features])
-    known = numbers.groupBy("split").agg(*[F.count(f"`{c}`").alias(c) for c in features])
-    totals = {(r["split"], c): r[c] for r in known.collect() for c in features}  # three rows
+    search = KsSearch(numbers, features, rows_per_bucket)
 
     def total(p: str) -> Column:
-        pairs = [x for c in features for x in (F.lit(c), F.lit(totals.get((p, c), 0)).cast("double"))]
+        i = PARTS.index(p)
+        pairs = [x for c in features for x in (F.lit(c), F.lit(search.totals[c][i]).cast("double"))]
         return F.element_at(F.create_map(*pairs), F.col("feature"))
 
-    pairs = [F.struct(part.alias("part"), F.col(f"`{c}`").alias("value")).alias(c) for c in features]
-    counts = (
-        numbers.select(*pairs)
-        .unpivot([], list(features), "feature", "_v")
-        .filter(F.col("_v.value").isNotNull())
-        .groupBy("feature", F.col("_v.value").alias("value"))
-        .agg(*[F.count_if(F.col("_v.part") == p).alias(p) for p in sums])
-    )
-    most = max((sum(totals.get((p, c), 0) for p in sums) for c in features), default=0)
-    n_buckets = bucket_count(most, rows_per_bucket)
-    if n_buckets > 1:
-        # looked up per distinct value, after counting
-        edges = ordered_buckets(numbers, features, n_buckets)
-        bucket = F.lit(None).cast("int")
-        for c in features:
-            bucket = F.when(F.col("feature") == c, edges[c].of(F.col("value"))).otherwise(bucket)
-        # never NULL, so that the join below adds no filter that would be pushed under the counting
-        counts = counts.withColumn("bucket", F.coalesce(bucket, F.lit(0)))
-        per_bucket = counts.groupBy("feature", "bucket").agg(*[F.sum(p).alias(p) for p in sums])
-        # at most n_buckets rows per feature from here on
-        before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = per_bucket.select(
-            "feature", "bucket", *[F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"{p}_0") for p in sums]
-        )
-        # joined by its two keys; at most features x 4096 rows
-        counts = counts.join(F.broadcast(offsets), ["feature", "bucket"])
-    else:
-        counts = counts.withColumns({"bucket": F.lit(0), **{f"{p}_0": F.lit(0) for p in sums}})
-    run = (
-        Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    # the share up to a value is its running count over the feature's own total
-    cumulated = counts.select(
-        "feature", *[(F.sum(p).over(run) + F.col(f"{p}_0")).alias(f"{p}_c") for p in sums]
-    )
-
-    gaps = []
-    for p in ("val", "test"):
-        gap = F.max(F.abs(ratio(F.col("train_c"), total("train")) - ratio(F.col(f"{p}_c"), total(p))))
-        gaps.append(gap.alias(f"d_{p}"))
-    wide = cumulated.groupBy("feature").agg(*gaps)
+    wide = search.largest_gaps()
     lines = F.array(
         *[
             F.struct(
