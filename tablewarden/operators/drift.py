@@ -32,16 +32,20 @@ def group_overlap(assigned: DataFrame, group: Sequence[str], *, allowed: int = 0
     ).withColumn("status", F.when(F.col("n_overlapping") > allowed, FAIL).otherwise(PASS))
 
 
+def late_rows(assigned: DataFrame, column: str) -> dict[str, Column]:
+    """Per later part: is a row of it older than the newest row of an earlier part."""
+    t, part = F.col(f"`{column}`"), F.col("split")
+    # two values, fetched as text: they become literals of the column's type
+    newest = assigned.agg(*[F.max(F.when(part == p, t)).cast("string").alias(p) for p in ("train", "val")]).first()
+    kind = assigned.schema[column].dataType
+    train, val = (F.lit(newest[p]).cast(kind) for p in ("train", "val"))
+    return {"val": (part == "val") & (t < train), "test": (part == "test") & (t < F.greatest(train, val))}
+
+
 def time_inversion(assigned: DataFrame, column: str, *, allowed: int = 0) -> DataFrame:
     """Rows of a later part that are older than the newest row of an earlier part."""
-    t, part = F.col(f"`{column}`"), F.col("split")
-    tops = assigned.agg(
-        F.struct(
-            F.max(F.when(part == "train", t)).alias("train"), F.max(F.when(part == "val", t)).alias("val")
-        ).alias("newest")
-    ).scalar()
-    train, val = tops.getField("train"), tops.getField("val")
-    late = F.when(part == "val", t < train).when(part == "test", t < F.greatest(train, val))
+    part, late = F.col("split"), late_rows(assigned, column)
+    late = F.when(part == "val", late["val"]).otherwise(late["test"])
     return (
         assigned.filter(part.isin("val", "test"))
         .groupBy("split")

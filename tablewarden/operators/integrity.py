@@ -84,6 +84,19 @@ def as_time(df: DataFrame, column: str) -> Column:
     return F.try_to_timestamp(c.cast("string"))
 
 
+def time_counts(df: DataFrame, column: str, *, earliest: str | None, latest: str | None) -> dict[str, Column]:
+    """The aggregates of ``time_bounds``."""
+    t = as_time(df, column)
+    kind = df.select(t.alias("t")).schema["t"].dataType
+    never = F.lit(False)
+    return {
+        "n_rows": F.count("*"),
+        "n_missing": F.count_if(t.isNull()),
+        "n_too_early": F.count_if(t < F.lit(earliest).cast(kind) if earliest else never),
+        "n_too_late": F.count_if(t > F.lit(latest).cast(kind) if latest else never),
+    }
+
+
 def time_bounds(
     df: DataFrame,
     column: str | None,
@@ -99,17 +112,7 @@ def time_bounds(
             [(None, None, None, None, SKIPPED)],
             "n_rows long, n_missing long, n_too_early long, n_too_late long, status string",
         )
-    t = as_time(df, column)
-    kind = df.select(t.alias("t")).schema["t"].dataType
-    never = F.lit(False)
-    early = t < F.lit(earliest).cast(kind) if earliest else never
-    late = t > F.lit(latest).cast(kind) if latest else never
-    out = df.agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(t.isNull()).alias("n_missing"),
-        F.count_if(early).alias("n_too_early"),
-        F.count_if(late).alias("n_too_late"),
-    )
+    out = df.agg(*[c.alias(n) for n, c in time_counts(df, column, earliest=earliest, latest=latest).items()])
     missing_bad = (F.col("n_missing") > 0) & F.lit(not allow_missing)
     bad = missing_bad | (F.col("n_too_early") > 0) | (F.col("n_too_late") > 0)
     return out.withColumn("status", F.when(bad, FAIL).otherwise(PASS))
@@ -180,15 +183,17 @@ def out_of_order(
 # --- label alignment -------------------------------------------------------------------------
 
 
+def label_counts(df: DataFrame, label: str, positive: str) -> dict[str, Column]:
+    """The aggregates of ``label_degenerate``."""
+    y = norm_category(text_of(df, label))
+    return {"n_labelled": F.count_if(y != MISSING_CATEGORY), "n_positive": F.count_if(y == F.lit(str(positive).strip()))}
+
+
 def label_degenerate(
     df: DataFrame, label: str, positive: str, *, low: float = 0.01, high: float = 0.99
 ) -> DataFrame:
     """Share of positives among known labels; outside [low, high] fails."""
-    y = norm_category(text_of(df, label))
-    row = df.agg(
-        F.count_if(y != MISSING_CATEGORY).alias("n_labelled"),
-        F.count_if(y == F.lit(str(positive).strip())).alias("n_positive"),
-    )
+    row = df.agg(*[c.alias(n) for n, c in label_counts(df, label, positive).items()])
     share = ratio(F.col("n_positive"), F.col("n_labelled"))
     good = F.coalesce(share.between(low, high), F.lit(False))
     return row.select(
@@ -207,6 +212,16 @@ def risky_names(
     return [c for c in df.columns if c not in skip and any(p in c.lower() for p in parts)]
 
 
+def alias_counts(df: DataFrame, label: str, columns: Sequence[str]) -> dict[str, tuple[Column, Column]]:
+    """The aggregates of ``label_aliases``: pairs of known values, and equal ones, per column."""
+    y, out = norm_category(text_of(df, label)), {}
+    for c in columns:
+        x = norm_category(text_of(df, c))
+        known = (y != MISSING_CATEGORY) & (x != MISSING_CATEGORY)
+        out[c] = F.count_if(known), F.count_if(known & (y == x))
+    return out
+
+
 def label_aliases(
     df: DataFrame,
     label: str,
@@ -215,16 +230,13 @@ def label_aliases(
     min_pairs: int = 50,
 ) -> DataFrame:
     """Is a feature the label under another name: equal on every pair of known values of the table."""
-    texts = df.select(
-        norm_category(text_of(df, label)).alias("_y"), *[norm_category(text_of(df, c)).alias(c) for c in columns]
-    )
+    counts = alias_counts(df, label, columns)
 
     def of(c: str) -> Column:
-        known = (F.col("_y") != MISSING_CATEGORY) & (F.col(f"`{c}`") != MISSING_CATEGORY)
-        equal = F.count_if(known & (F.col("_y") == F.col(f"`{c}`")))
-        return F.struct(F.lit(c).alias("column"), F.count_if(known).alias("n_pairs"), equal.alias("n_equal"))
+        known, equal = counts[c]
+        return F.struct(F.lit(c).alias("column"), known.alias("n_pairs"), equal.alias("n_equal"))
 
     # one row of counts over one scan, then a row per column
-    pairs = texts.agg(F.array(*[of(c) for c in columns]).alias("_p")).select(F.inline("_p"))
+    pairs = df.agg(F.array(*[of(c) for c in columns]).alias("_p")).select(F.inline("_p"))
     alias = (F.col("n_pairs") >= min_pairs) & (F.col("n_pairs") == F.col("n_equal"))
     return pairs.withColumn("is_alias", alias).withColumn("status", F.when(alias, WARN).otherwise(PASS))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,10 @@ OUTCOME_NAME_PARTS = [
 ID_NAME_PARTS = ["id", "uuid", "guid", "hash", "account", "customer", "user"]
 
 
+# What a report advises about a proxy.
+ACTIONS = ("check_multicollinearity", "drop_or_regularize", "keep_but_constrain")
+
+
 @dataclass(frozen=True)
 class ProxyRule:
     """``target`` should not be the product of ``factors``."""
@@ -33,7 +37,7 @@ class ProxyRule:
     high: float = 1.2
     min_share: float = 0.90
     min_rows: int = 200
-    actions: Sequence[str] = ("check_multicollinearity", "drop_or_regularize", "keep_but_constrain")
+    actions: Sequence[str] = ACTIONS
 
     @property
     def name(self) -> str:
@@ -51,6 +55,17 @@ def _proxy_ratio(df: DataFrame, rule: ProxyRule) -> Column:
     return F.try_divide(number_of(df, rule.target), _product(df, rule))
 
 
+def proxy_counts(df: DataFrame, rule: ProxyRule) -> tuple[Column, Column]:
+    """Aggregates: rows whose ratio is known, and those of them in the band."""
+    q = _proxy_ratio(df, rule)
+    return F.count(q), F.count_if(q.between(rule.low, rule.high))
+
+
+def is_proxy(rule: ProxyRule, n: Column, in_band: Column) -> Column:
+    share = F.try_divide(in_band.cast("double"), n.cast("double"))
+    return F.coalesce((n >= rule.min_rows) & (share >= rule.min_share), F.lit(False))
+
+
 def derived_proxies(df: DataFrame, rules: Sequence[ProxyRule]) -> DataFrame:
     """Share of usable rows whose ratio target/product lies in the band, all rules in one scan."""
     ratios = df.select(*[_proxy_ratio(df, r).alias(f"q{i}") for i, r in enumerate(rules)])
@@ -142,28 +157,33 @@ def leakage_catalogue(
     proxy_rules: Sequence[ProxyRule] = (),
     corr_threshold: float = 0.98,
     cardinality_threshold: float = 0.90,
+    known: Mapping[str, tuple[Column | None, Column]] | None = None,
 ) -> DataFrame:
     """One row per feature with its tags and risk level.
 
     Correlations and proxies are one-row aggregates; the determinism test is
-    one grouped pass over (column, value).
+    one grouped pass over (column, value).  ``known`` gives a feature's correlation and whether
+    it is a proxy target where a caller has them already.
     """
     det = value_determinism(df, features, label)
     unique_ratio = F.try_divide(F.col("n_unique").cast("double"), F.col("n_known").cast("double"))
     facts = det.withColumn("unique_ratio", unique_ratio)
     numeric = [c for c in numeric_columns(df) if c in features]
     # both sides below have at most one row per feature
-    if numeric:
+    if known is not None:
+        pick = lambda i, other: F.coalesce(*[F.when(F.col("column") == c, k[i]) for c, k in known.items() if k[i] is not None], other)
+        facts = facts.withColumns({"correlation": pick(0, F.lit(None).cast("double")), "_proxy": pick(1, F.lit(False))})
+    elif numeric:
         corr = label_correlation(df, numeric, y).select("column", "correlation")
         facts = facts.join(F.broadcast(corr), "column", "left")
     else:
         facts = facts.withColumn("correlation", F.lit(None).cast("double"))
-    if proxy_rules:
+    if known is None and proxy_rules:
         flagged = (
             derived_proxies(df, proxy_rules).filter("flagged").select(F.col("target").alias("column")).distinct()
         ).withColumn("_proxy", F.lit(True))
         facts = facts.join(F.broadcast(flagged), "column", "left")
-    else:
+    elif known is None:
         facts = facts.withColumn("_proxy", F.lit(False))
 
     outcome = F.col("column").isin(risky_names(df, OUTCOME_NAME_PARTS, exclude=[label]))

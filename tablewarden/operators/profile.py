@@ -330,21 +330,22 @@ class Readiness:
     min_positive: float = 0.05
     max_positive: float = 0.95
 
-    def counts(self, df: DataFrame, label: str, positive: str) -> list[Column]:
+    def counts(self, df: DataFrame, label: str, positive: str) -> dict[str, Column]:
         """The aggregates that ``lines`` reads."""
         y = norm_category(text_of(df, label))
-        return [
-            F.count("*").alias("n"),
-            F.count_if(y != MISSING_CATEGORY).alias("n_labelled"),
-            F.count_if(y == F.lit(str(positive).strip())).alias("n_pos"),
-        ]
+        return {
+            "n": F.count("*"),
+            "n_labelled": F.count_if(y != MISSING_CATEGORY),
+            "n_pos": F.count_if(y == F.lit(str(positive).strip())),
+        }
 
-    def lines(self) -> list[tuple[str, Column, Column]]:
+    def lines(self, value: Callable[[str], Column] = F.col) -> list[tuple[str, Column, Column]]:
         """(metric, value, good) over the aggregates."""
-        missing = F.lit(1.0) - ratio(F.col("n_labelled"), F.col("n"))
-        share = ratio(F.col("n_pos"), F.col("n_labelled"))
+        n, labelled = value("n"), value("n_labelled")
+        missing = F.lit(1.0) - ratio(labelled, n)
+        share = ratio(value("n_pos"), labelled)
         return [
-            ("n_rows", F.col("n"), F.col("n") >= self.min_rows),
+            ("n_rows", n, n >= self.min_rows),
             ("label_missing_share", F.round(missing, 6), missing <= self.max_label_missing),
             ("positive_share", F.round(share, 6), share.between(self.min_positive, self.max_positive)),
         ]
@@ -360,7 +361,7 @@ def readiness(df: DataFrame, *, label: str, positive: str, needs: Readiness = Re
         )
         for name, value, good in needs.lines()
     ]
-    row = df.agg(*needs.counts(df, label, positive))
+    row = df.agg(*[c.alias(n) for n, c in needs.counts(df, label, positive).items()])
     return row.select(F.explode(F.array(*lines)).alias("_l")).select("_l.*")
 
 
@@ -387,6 +388,11 @@ def guarded_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
 
 
+def correlation_asks(x: Column, y: Column) -> tuple[Column, Column]:
+    """Aggregates: complete pairs, and their correlation."""
+    return F.count_if(x.isNotNull() & y.isNotNull()), guarded_corr(x, y)
+
+
 def label_correlation(
     df: DataFrame,
     columns: Sequence[str],

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewarden.functions.numbers import nulls_for_nan
+from tablewarden.functions.numbers import nulls_for_nan, ratio
+from tablewarden.functions.text import MISSING_CATEGORY, norm_category, text_of
 from tablewarden.operators import profile
-from tablewarden.operators.findings import FAIL, PASS, WARN, fact, facts_of, findings, union_all
-from tablewarden.operators.segments import examples, rate_by_segment
+from tablewarden.operators.findings import FAIL, WARN, fact, union_all
+from tablewarden.plans.compiled import Checks
 
 
 def quality_findings(
@@ -27,74 +28,80 @@ def quality_findings(
     max_majority: float = 0.80,
     needs: profile.Readiness = profile.Readiness(),
 ) -> DataFrame:
-    """Contract, health, rules, readiness, segments and balance as finding rows."""
+    """Contract, health, rules, readiness, segments and balance as finding rows.
+
+    The table is read once for all aggregates, once for the levels of all columns, segments and
+    classes, and once for its key.
+    """
     df = nulls_for_nan(df)
-    bad = F.col("status").isin(WARN, FAIL)
-    one = F.lit(1.0)
-    out = []
+    checks = Checks(df)
+    value = checks.value
+    facts: list[Column] = []
+    later: list[Callable[[], list[Column]]] = []  # facts, once the asks are compiled
 
-    columns = profile.contract_columns(df, contract).filter(F.col("issue") == "missing_column")
-    out.append(
-        findings(columns, source="contract", code="missing_column", subject=F.col("column"), value=one,
-                 severity="hard" if contract.enforce_required else "risk", bad=F.lit(True))
-    )
-    # unreadable numbers, broken rules and readiness are one aggregate over one scan
-    asks, facts = needs.counts(df, label, positive), []
-    severity = "hard" if contract.enforce_dtypes else "risk"
-    for i, c in enumerate(c for c in contract.numeric if c in df.columns):
-        asks.append(F.count_if(profile.unreadable_number(df, c)).alias(f"d{i}"))
-        facts.append(fact("contract", "dtype_issues_detected", c, F.col(f"d{i}"), severity, F.col(f"d{i}") > 0))
+    severity = "hard" if contract.enforce_required else "risk"
+    absent = [c for c in contract.required if c not in df.columns]
+    facts += [fact("contract", "missing_column", c, F.lit(1.0), severity, F.lit(True)) for c in absent]
+    strict = "hard" if contract.enforce_dtypes else "risk"
+    numeric = [c for c in contract.numeric if c in df.columns]
+    for i, c in enumerate(numeric):
+        checks.ask(f"d{i}", F.count_if(profile.unreadable_number(df, c)))
     for i, r in enumerate(rules):
-        asks.append(F.count_if(r.broken(df)).alias(f"r{i}"))
-        facts.append(fact("semantic", "rule_broken", r.name, F.col(f"r{i}"), "risk", F.col(f"r{i}") > 0))
-    for name, value, good in needs.lines():
-        facts.append(fact("readiness", name, label, value, "hard", ~F.coalesce(good, F.lit(False))))
-    out.append(facts_of(df.agg(*asks), facts))
-
+        checks.ask(f"r{i}", F.count_if(r.broken(df)))
+    for name, ask in needs.counts(df, label, positive).items():
+        checks.ask(name, ask)
+    later.append(
+        lambda: [fact("contract", "dtype_issues_detected", c, value(f"d{i}"), strict, value(f"d{i}") > 0) for i, c in enumerate(numeric)]
+        + [fact("semantic", "rule_broken", r.name, value(f"r{i}"), "risk", value(f"r{i}") > 0) for i, r in enumerate(rules)]
+        + [fact("readiness", name, label, x, "hard", ~F.coalesce(good, F.lit(False))) for name, x, good in needs.lines(value)]
+    )
     if contract.primary_key:
-        key = profile.contract_key(df, contract.primary_key)
-        broken = F.col("n_null_keys") + F.col("n_rows_in_duplicates")
-        out.append(
-            findings(key, source="contract", code="primary_key_broken",
-                     subject=F.lit(",".join(contract.primary_key)), value=broken, severity="hard", bad=bad)
-        )
-
-    health = profile.health_columns(df, high_missing=high_missing, high_cardinality=high_cardinality)
+        # rows without a key, and rows of keys that occur more than once
+        checks.ask_groups(
+            [F.col(f"`{k}`") for k in contract.primary_key],
+            {"n_of_key": F.count("*")},
+            {"broken": lambda g: F.coalesce(F.sum(F.when(g("null_key") | (g("n_of_key") > 1), g("n_of_key"))), F.lit(0))},
+        )
+        key = ",".join(contract.primary_key)
+        later.append(lambda: [fact("contract", "primary_key_broken", key, value("broken"), "hard", value("broken") > 0)])
 
-    def tagged(tag: str) -> Column:
-        return F.array_contains(F.split("tags", ","), tag)
+    y = norm_category(text_of(df, label))
+    labelled = y != MISSING_CATEGORY
+    present = [c for c in segments if c in df.columns]
+    for i, c in enumerate(df.columns):
+        checks.ask_levels(f"h{i}", text_of(df, c))
+    for i, c in enumerate(present):
+        checks.ask_levels(f"s{i}", norm_category(text_of(df, c)), labelled)
+    checks.ask_levels("c", y, labelled)
+    checks.compile()
+    for make in later:
+        facts += make()
 
-    # both tags of a column come from the same row, so the profile is computed once
-    tags = F.array(
-        *[
-            F.struct(F.lit(tag).alias("tag"), F.col(value).alias("value"), F.lit(sev).alias("sev"), tagged(tag).alias("bad"))
-            for tag, value, sev in (
-                ("high_missing", "missing_rate", "fixable"),
-                ("high_cardinality", "unique_ratio", "info"),
-            )
-        ]
+    # every segment column has a level, known or not, in each labelled row
+    level, n = F.col("value"), F.col("n")
+    per_name = checks.levels().groupBy("name").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(level.isNull(), n)), F.lit(0)).alias("missing"),
+        F.count_if(level.isNotNull()).alias("unique"),
+        F.count_if(ratio(n, value("n_labelled")) < F.lit(float(small_share))).alias("small"),
+        F.max("n").alias("most"),
     )
-    per_tag = health.select("column", F.explode(tags).alias("_t")).select("column", "_t.*")
-    out.append(
-        per_tag.select(
-            F.lit("health").alias("source"), F.col("tag").alias("code"), F.col("column").alias("subject"), "value",
-            F.col("sev").alias("severity"), F.when(F.col("bad"), WARN).otherwise(PASS).alias("status"),
-        )
-    )
-    if segments:
-        rates = rate_by_segment(df, label=label, positive=positive, segments=segments, min_share=small_share)
-        small = rates.groupBy("segment_col").agg(F.count_if("small_segment").alias("n"))
-        out.append(
-            findings(small, source="domain", code="small_segments", subject=F.col("segment_col"),
-                     value=F.col("n"), severity="info", bad=F.col("n") > 0)
-        )
-    balance = profile.label_balance(df, label, max_majority=max_majority)
-    top = balance.agg(F.max("share").alias("share"), F.bool_or("dominant").alias("dominant"))
-    out.append(
-        findings(top, source="distribution", code="dominant_class", subject=F.lit(label),
-                 value=F.col("share"), severity="risk", bad=F.col("dominant"))
-    )
-    return union_all(out)
+
+    def line(name: str, source: str, code: str, subject: str, x: Column, severity: str, bad: Column) -> Column:
+        return F.when(F.col("name") == name, fact(source, code, subject, x, severity, bad))
+
+    missing_rate, unique_ratio = (ratio(F.col(c), F.col("rows")) for c in ("missing", "unique"))
+    lines = []
+    for i, c in enumerate(df.columns):
+        lines.append(line(f"h{i}", "health", "high_missing", c, F.round(missing_rate, 6), "fixable", missing_rate > high_missing))
+        high = unique_ratio > high_cardinality
+        lines.append(line(f"h{i}", "health", "high_cardinality", c, F.round(unique_ratio, 6), "info", high))
+    for i, c in enumerate(present):
+        lines.append(line(f"s{i}", "domain", "small_segments", c, F.col("small"), "info", F.col("small") > 0))
+    share = ratio(F.col("most"), F.col("rows"))
+    lines.append(line("c", "distribution", "dominant_class", label, F.round(share, 6), "risk", share > F.lit(max_majority)))
+    of_levels = per_name.select(F.explode(F.array_compact(F.array(*lines))).alias("_f")).select("_f.*")
+    return union_all([checks.facts(facts), of_levels])
 
 
 def severity_summary(found: DataFrame, *, max_examples: int = 20) -> DataFrame:
@@ -107,12 +114,9 @@ def severity_summary(found: DataFrame, *, max_examples: int = 20) -> DataFrame:
     named = found.filter(F.col("status").isin(WARN, FAIL)).select(
         category.alias("category"), F.concat_ws(":", "source", "code", "subject").alias("name")
     )
-    counts = named.groupBy("category").agg(F.count("*").alias("n_findings"))
-    # at most max_examples names per category are collected into a list
-    shown = (
-        examples(named, "category", ["name"], max_examples)
-        .groupBy("category")
-        .agg(F.array_join(F.array_sort(F.collect_list("name")), " | ").alias("examples"))
+    # ranked first, so that at most max_examples names of a category are collected
+    ranked = named.withColumn("_r", F.row_number().over(Window.partitionBy("category").orderBy("name")))
+    shown = F.collect_list(F.when(F.col("_r") <= max_examples, F.col("name")))
+    return ranked.groupBy("category").agg(
+        F.count("*").alias("n_findings"), F.array_join(F.array_sort(shown), " | ").alias("examples")
     )
-    # three categories at most
-    return counts.join(F.broadcast(shown), "category", "left")
