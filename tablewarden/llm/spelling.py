@@ -4,12 +4,12 @@ A word's vector counts its code points by group (code point modulo GROUPS). The
 arranges words by one count a level. One inserted code point adds one to a count, a
 deleted one takes one away, a replaced one does both or neither: a search goes down the
 trie with a budget of one surplus and one deficit, and words at the leaves it reaches
-are compared. To meet every pair once, a search spends its surplus first: it looks for
+are compared. Counts that vary most between the words come first. To meet every pair once, a search spends its surplus first: it looks for
 words that are longer by one, or that have more of the first letter group that differs.
 
 The upper levels are walked by Spark, a few levels a round, branches without words being
-cut off; a subtree that is small enough (SHARD_WORDS) is searched in one task, all its
-searches level by level. Subtrees that stay too large down to the leaves are cut into
+cut off; a subtree that is small enough (SHARD_WORDS, and one in SHARES of all words) is
+searched in one task, all its searches level by level. Subtrees that stay too large down to the leaves are cut into
 parts by a hash of the word, and the searches go through every part.
 """
 
@@ -31,8 +31,10 @@ from .store import materialise
 LEAST = 7
 EVERY = 31
 GROUPS = 16
-STEP = 4
-SHARD_WORDS = 2048
+STEP = 2
+SHARD_WORDS = 65_536
+SHARES = 20
+ROWS = 1 << 17
 WIDE = 64
 PAIRS = 1 << 16
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -138,94 +140,111 @@ def _one_edit(a: str, b: str) -> bool:
     return a[low + (len(a) == len(b)) :] == b[low + 1 :]
 
 
-def _verified(qs: list[str], ws: list[str], qi: np.ndarray, wi: np.ndarray) -> np.ndarray:
-    """Which pairs (query, word) are one edit apart; equal lengths count once, in the order of the words."""
+def _verified(qs: pa.Array, ws: pa.Array, qi: np.ndarray, wi: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """Which pairs (query, word) are one edit apart; those of one vector are met from both their words and count once."""
+    qs, ws = np.array(qs.to_pylist(), object), np.array(ws.to_pylist(), object)
     nq, nw = np.array([len(x) for x in qs]), np.array([len(x) for x in ws])
     more = nw[wi] - nq[qi]
-    ok = (more == 0) | (more == 1)
+    ok = ((more == 0) & (state != 1)) | ((more == 1) & (state == 1))
     short = (nq[qi] <= WIDE) & (nw[wi] <= WIDE)
     fast = np.flatnonzero(ok & short)
     a_of, b_of = (_letters([x if len(x) <= WIDE else "" for x in v]) for v in (qs, ws))
     for at in range(0, len(fast), PAIRS // 4):
         some = fast[at : at + PAIRS // 4]
-        a, b = a_of[qi[some]], b_of[wi[some]]
+        width = int(max(nq[qi[some]].max(), nw[wi[some]].max()))
+        a, b = a_of[qi[some], :width], b_of[wi[some], :width]
         differ = a != b
-        first = np.where(differ.any(1), differ.argmax(1), WIDE)
+        first = np.where(differ.any(1), differ.argmax(1), width)
         # behind the first difference b runs one place ahead of a, if it is longer
         ahead = a[:, :-1] != b[:, 1:]
-        tail = (ahead & (np.arange(WIDE - 1) >= first[:, None])).any(1)
+        tail = (ahead & (np.arange(width - 1) >= first[:, None])).any(1)
         ok[some] = np.where(more[some] == 1, ~tail, differ.sum(1) == 1)
     for p in np.flatnonzero(ok & ~short):
         ok[p] = _one_edit(qs[qi[p]], ws[wi[p]])
+    for p in np.flatnonzero(ok & (state == 0)):
+        ok[p] = qs[qi[p]] < ws[wi[p]]
     return np.flatnonzero(ok)
 
 
-def _search(depth: int):
-    """Sorted subtrees, each with its words (kind 0) before its searches (kind 1) -> pairs (word, near, near_n), both ways."""
+def _matrix(rows: pa.Table) -> np.ndarray:
+    return rows["vec"].combine_chunks().flatten().to_numpy().reshape(len(rows), GROUPS)
+
 
-    def matrix(rows: pa.Table) -> np.ndarray:
-        return rows["vec"].combine_chunks().flatten().to_numpy().reshape(len(rows), GROUPS).astype(np.int64)
+class _Trie:
+    """The levels from ``depth`` on of the subtrees of some words."""
 
-    def pairs(words: pa.Table, searches: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        vec, want = matrix(words), matrix(searches)
-        # subtrees by number; levels below are numbered by parent and count
-        shard_w, shard_q = words["shard"].to_numpy(), searches["shard"].to_numpy()
-        top = np.unique(shard_w)
-        node = np.searchsorted(top, shard_w)
-        levels = []
+    def __init__(self, words: pa.Table, depth: int):
+        self.words, self.depth, vec = words, depth, _matrix(words)
+        shard = words["shard"].to_numpy()
+        # subtrees by number; nodes below are numbered by parent and count
+        self.top, node = np.unique(shard, return_inverse=True)
+        self.levels = []
         for g in range(depth, GROUPS):
-            key = node * (1 << 31) + vec[:, g]
-            keys, node = np.unique(key, return_inverse=True)
-            levels.append(keys)
-        order = np.argsort(node, kind="stable")
-        begin = np.searchsorted(node[order], np.arange(node.max() + 2))
-        at = np.minimum(np.searchsorted(top, shard_q), len(top) - 1)
-        q = np.flatnonzero(top[at] == shard_q)
+            keys, node = np.unique(node * (1 << 31) + vec[:, g], return_inverse=True)
+            self.levels.append(keys)
+        self.order = np.argsort(node, kind="stable")
+        self.begin = np.searchsorted(node[self.order], np.arange(len(self.levels[-1]) + 1 if self.levels else len(self.top) + 1))
+
+    def search(self, searches: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Blocks of (search, word, state) whose vectors are within the budget."""
+        want, shard = _matrix(searches), searches["shard"].to_numpy()
+        at = np.minimum(np.searchsorted(self.top, shard), len(self.top) - 1)
+        q = np.flatnonzero(self.top[at] == shard)
         at, state = at[q], searches["state"].to_numpy()[q]
-        for g, keys in zip(range(depth, GROUPS), levels):
-            found = []
+        for g, keys in zip(range(self.depth, GROUPS), self.levels):
+            base, found = at * (1 << 31) + want[q, g], []
             for spent, by, then in ((0, 0, 0), (0, 1, 1), (1, 0, 1), (1, -1, 2), (2, 0, 2)):
-                mine = np.flatnonzero(state == spent)
-                key = at[mine] * (1 << 31) + want[q[mine], g] + by
+                mine = np.flatnonzero(state == spent if by >= 0 else (state == spent) & (want[q, g] > 0))
+                key = base[mine] + by
                 place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                hit = (keys[place] == key) & (want[q[mine], g] + by >= 0)
-                found.append((q[mine][hit], place[hit], np.full(hit.sum(), then)))
+                hit = keys[place] == key
+                found.append((q[mine[hit]], place[hit], np.full(hit.sum(), then)))
             q, at, state = (np.concatenate(x) for x in zip(*found))
-        size = begin[at + 1] - begin[at]
-        done = 0
+        size = self.begin[at + 1] - self.begin[at]
+        done, total = 0, np.append(0, np.cumsum(size))
         while done < len(q):  # leaves in blocks of bounded size
-            upto = max(done + 1, int(np.searchsorted(np.cumsum(size[done:]), PAIRS, "right")) + done)
+            upto = max(done + 1, int(np.searchsorted(total, total[done] + PAIRS, "right")) - 1)
             n = size[done:upto]
-            qi = np.repeat(q[done:upto], n)
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            yield qi, order[np.repeat(begin[at[done:upto]], n) + inner], np.repeat(state[done:upto], n)
+            yield np.repeat(q[done:upto], n), self.order[np.repeat(self.begin[at[done:upto]], n) + inner], np.repeat(state[done:upto], n)
             done = upto
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # words of the subtree that the last batch ended in
+
+def _search(depth: int):
+    """Sorted subtrees, each with its words (kind 0) before its searches (kind 1) -> pairs (word, near, near_n), both ways."""
+
+    def buffered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        some, n = [], 0
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if not len(rows):
-                continue
-            kind = rows["kind"]
-            words, searches = rows.filter(pa.compute.equal(kind, 0)), rows.filter(pa.compute.equal(kind, 1))
-            if held is not None:
-                words = pa.concat_tables([held, words])
-            last = rows["shard"][len(rows) - 1]
-            held = words.filter(pa.compute.equal(words["shard"], last)).combine_chunks()
-            if not len(words) or not len(searches):
+            some.append(batch)
+            n += batch.num_rows
+            if n >= ROWS:
+                yield pa.Table.from_batches(some).combine_chunks()
+                some, n = [], 0
+        if n:
+            yield pa.Table.from_batches(some).combine_chunks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, trie = None, None  # words of the subtree that the last rows ended in
+        for rows in buffered(batches):
+            words, searches = (rows.filter(pa.compute.equal(rows["kind"], k)) for k in (0, 1))
+            if held is None or len(words):
+                words = words if held is None else pa.concat_tables([held, words])
+                trie = _Trie(words.combine_chunks(), depth) if len(words) else None
+                held = words.filter(pa.compute.equal(words["shard"], rows["shard"][len(rows) - 1])).combine_chunks()
+            if trie is None or not len(searches):
                 continue
-            ws, qs = words["word"].to_pylist(), searches["word"].to_pylist()
-            wn, qn = words["n"].to_numpy(), searches["n"].to_numpy()
-            for qi, wi, state in pairs(words, searches):
-                # a pair of one vector is met from both its words
-                twice = np.array([s == 0 and qs[a] >= ws[b] for a, b, s in zip(qi, wi, state)], bool)
-                qi, wi = qi[~twice], wi[~twice]
-                good = _verified(qs, ws, qi, wi)
-                a, b = qi[good], wi[good]
-                left, right = [qs[i] for i in a], [ws[i] for i in b]
+            ws, qs = trie.words["word"].combine_chunks(), searches["word"].combine_chunks()
+            wn, qn = trie.words["n"].to_numpy(), searches["n"].to_numpy()
+            for qi, wi, state in trie.search(searches):
+                # only what meets is looked at letter by letter
+                q_of, qi = np.unique(qi, return_inverse=True)
+                w_of, wi = np.unique(wi, return_inverse=True)
+                good = _verified(qs.take(pa.array(q_of)), ws.take(pa.array(w_of)), qi, wi, state)
+                a, b = q_of[qi[good]], w_of[wi[good]]
+                left, right = qs.take(pa.array(a)), ws.take(pa.array(b))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(left + right, pa.string()), pa.array(right + left, pa.string()), pa.array(np.concatenate([wn[b], qn[a]]))],
+                    [pa.concat_arrays([left, right]), pa.concat_arrays([right, left]), pa.array(np.concatenate([wn[b], qn[a]]))],
                     ["word", "near", "near_n"],
                 )
 
@@ -236,23 +255,28 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """(word, near, near_n) for all pairs of ``words`` (word, n; written tables) that are one edit apart, both ways."""
     spark = words.sparkSession
     vectors = materialise(words.mapInArrow(_vectors, "word string, n bigint, vec array<int>"), "vectors")
+    counts = [F.col("vec")[g].cast("double") for g in range(GROUPS)]
+    spread = vectors.agg(F.count("*").alias("n"), *[F.var_pop(c).alias(str(g)) for g, c in enumerate(counts)]).first()
+    order = sorted(range(GROUPS), key=lambda g: (-(spread[str(g)] or 0.0), g))
+    vectors = vectors.withColumn("vec", F.array(*[F.col("vec")[g] for g in order]))
+    limit = min(SHARD_WORDS, max(1024, spread["n"] // SHARES))
     searches = vectors.select("word", "n", "vec", F.array().cast("array<int>").alias("path"), F.lit(0).alias("state"))
     for depth in range(STEP, GROUPS + 1, STEP):
         nodes = vectors.groupBy(F.slice("vec", 1, depth).alias("path")).agg(F.count("*").alias("size"))
         nodes = materialise(nodes, "nodes")
         searches = _step(searches, depth - STEP).join(nodes.select("path"), "path", "left_semi")
         largest = nodes.agg(F.max("size")).first()[0] or 0
-        if largest <= SHARD_WORDS or depth == GROUPS:
+        if largest <= limit or depth == GROUPS:
             break
         searches = materialise(searches, "searches")
-    parts = F.ceil(F.col("size") / SHARD_WORDS).cast("int")
+    parts = F.ceil(F.col("size") / limit).cast("int")
     mine = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
     nodes = nodes.select("path", parts.alias("parts"))
     index = vectors.withColumn("path", F.slice("vec", 1, depth))
     fields = ["word", "n", "vec", "state", "kind"]
     # only subtrees of several parts need a look at their number; they are few, and none at most depths
     many = nodes.where("parts > 1")
-    if largest <= SHARD_WORDS:
+    if largest <= limit:
         index, searches = (x.withColumn("part", F.lit(0)) for x in (index, searches))
     else:
         index = index.join(many, "path", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", mine)
