@@ -325,7 +325,10 @@ def clean_run(spark, sf):
     ) as v(step_no, step, "column", metric, value)"""
 )
 def clean_report(spark, sf):
-    return _run(spark, sf).report.select("step_no", "step", "column", "metric", F.round("value", 4).alias("value"))
+    """The report observed while the clean table is written."""
+    path = shared_folder(spark, "clean")
+    report = _run(spark, sf).save(lambda clean: write_clean(clean, path, run_id="observed"))
+    return report.select("step_no", "step", "column", "metric", F.round("value", 4).alias("value"))
 
 
 @query("clean_roundtrip", CLEAN_SQL)

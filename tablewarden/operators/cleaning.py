@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,16 +201,32 @@ def bucket_rare(
     are few, which needs no join.  Otherwise they are joined, see
     ``_join_frequent``.
     """
+    return fit_rare(df, columns, min_freq=min_freq, other=other, literal_levels=literal_levels)(df)
+
+
+def fit_rare(
+    df: DataFrame,
+    columns: Sequence[str],
+    *,
+    min_freq: int = 50,
+    other: str = "Other",
+    literal_levels: int = LITERAL_LEVELS,
+) -> Callable[[DataFrame], DataFrame]:
+    """``bucket_rare`` with the levels of ``df``, as a step for this table however it is carried on."""
     present = [c for c in columns if c in df.columns]
     if not present:
-        return df
+        return lambda d: d
     frequent = level_counts(df, present).filter(F.col("n") >= int(min_freq))
     # the limit makes one action both the size check and the fetch
     fetched = frequent.limit(literal_levels + 1).collect()
-    if len(fetched) > literal_levels:
+
+    def join(d: DataFrame) -> DataFrame:
         for c in present:
-            df = _join_frequent(df, c, frequent, other)
-        return df
+            d = _join_frequent(d, c, frequent, other)
+        return d
+
+    if len(fetched) > literal_levels:
+        return join
     new = {}
     for c in present:
         levels = [r["value"] for r in fetched if r["column"] == c]
@@ -219,7 +235,7 @@ def bucket_rare(
         if None in levels:
             keep = keep | text.isNull()
         new[c] = F.when(keep, text).otherwise(F.lit(other))
-    return df.withColumns(new)
+    return lambda d: d.withColumns(new)
 
 
 def _join_frequent(df: DataFrame, column: str, frequent: DataFrame, other: str) -> DataFrame:
@@ -290,14 +306,17 @@ def _takes(df: DataFrame, name: str, mapping: Mapping) -> bool:
     return isinstance(df.schema[name].dataType, kind)
 
 
+def map_hits(df: DataFrame, columns: Sequence[str], mapping: Mapping) -> dict[str, Column]:
+    """Per column: 1 where the mapping changes or confirms a value."""
+    return {
+        c: F.col(f"`{c}`").isin(list(mapping)).cast("int") if _takes(df, c, mapping) else F.lit(0) for c in columns
+    }
+
+
 def map_report(df: DataFrame, columns: Sequence[str], mapping: Mapping) -> DataFrame:
     """Per column: how many values the mapping will change or confirm."""
     present = [c for c in columns if c in df.columns]
-
-    def hit(c: str) -> Column:
-        return F.col(f"`{c}`").isin(list(mapping)).cast("int") if _takes(df, c, mapping) else F.lit(0)
-
-    hits = df.select(*[hit(c).alias(c) for c in present])
+    hits = df.select(*[hit.alias(c) for c, hit in map_hits(df, present, mapping).items()])
     sums = hits.agg(*[F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in present])
     return sums.unpivot([], present, "column", "n_affected")
 
@@ -305,12 +324,51 @@ def map_report(df: DataFrame, columns: Sequence[str], mapping: Mapping) -> DataF
 # --- the whole run -------------------------------------------------------------------------
 
 
+# A report row's place: step number, step, part, column, metric.
+Place = tuple[int, str, str | None, str | None, str]
+
+
 @dataclass
 class CleaningResult:
+    """The clean table, a report of every step, and the passes that lead there."""
+
     data: DataFrame
     report: DataFrame
     steps_run: list[str]
     used_config: Mapping = field(default_factory=dict)
+    raw: DataFrame | None = None
+    passes: list[Callable[[DataFrame], DataFrame] | dict[Place, Column]] = field(default_factory=list)
+    settled: DataFrame | None = None
+
+    def save(self, write: Callable[[DataFrame], object]) -> DataFrame:
+        """Write the clean table and return the report of that same pass.
+
+        Row counts and the counts of every step are observed while ``write`` (one action on the
+        table it is given) runs, so the report costs no further scan but that of the rare levels.
+        Spark counts an observed partition once however often its task is retried, as long as
+        the task ends the job; below a shuffle a lost executor may have map tasks run, and
+        counted, twice. So where a step needs a shuffle the counts come from ``report`` instead.
+        """
+        df, seen = self.raw, []
+        for step in self.passes:
+            if isinstance(step, dict):
+                seen.append((Observation(), step))
+                df = df.observe(seen[-1][0], *[c.alias(f"m{i}") for i, c in enumerate(step.values())])
+            else:
+                df = step(df)
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        last = max(i for i, line in enumerate(plan) if "CollectMetrics" in line)
+        if any("Exchange" in line for line in plan[:last]):
+            write(self.data)
+            return self.report
+        write(df)
+        rows = []
+        for observation, step in seen:
+            values = observation.get
+            if len(values) < len(step):  # the optimizer saw that no row comes this far
+                return self.report
+            rows += [(*place, float(values[f"m{i}"]), None) for i, place in enumerate(step)]
+        return self.settled.unionByName(literal_rows(self.raw.sparkSession, rows, REPORT_SCHEMA))
 
 
 def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) -> CleaningResult:
@@ -328,6 +386,12 @@ def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) ->
     steps: list[str] = []
     fixed: list[tuple] = []  # report rows known on the driver
     lazy: list[DataFrame] = []  # report rows that Spark computes
+    grouped: list[DataFrame] = []  # those of them that no row-by-row pass can count
+    passes: list = []  # what is done to the table, and what is counted in between
+
+    def counted(step: str, counts: Mapping[tuple[str | None, str], Column], part=None, step_no=None):
+        no = len(steps) if step_no is None else step_no
+        passes.append({(no, step, part, column, metric): c for (column, metric), c in counts.items()})
 
     def row(step, metric, value=None, *, part=None, column=None, note=None):
         v = None if value is None else float(value)
@@ -353,31 +417,41 @@ def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) ->
             if c not in cur.columns:
                 row(step, "column_not_found", column=c, part=part, note="column_not_found")
 
+    def do(step: Callable[[DataFrame], DataFrame]) -> None:
+        nonlocal cur
+        cur = step(cur)
+        passes.append(step)
+
+    counted("high_level", {(None, "rows_before"): F.count("*")}, step_no=0)
     if config.get("enable_normalize_strings", True):
         steps.append("normalize_strings")
         for c in strippable(cur, config.get("string_columns")):
             row(steps[-1], "stripped", 1, column=c)
-        cur = strip_strings(cur, config.get("string_columns"))
+        do(lambda d: strip_strings(d, config.get("string_columns")))
 
     label = str(config.get("label_col") or "").strip()
     if label:
         steps.append("drop_missing_label")
         if label in cur.columns:
-            counts = cur.agg(
-                F.count("*").alias("rows_before"),
-                F.count(f"`{label}`").alias("rows_after"),
-                F.count_if(F.col(f"`{label}`").isNull()).alias("rows_dropped"),
-            ).withColumn("column", F.lit(label))
-            computed(counts, steps[-1], ["rows_before", "rows_after", "rows_dropped"])
+            asks = {
+                "rows_before": F.count("*"),
+                "rows_after": F.count(f"`{label}`"),
+                "rows_dropped": F.count_if(F.col(f"`{label}`").isNull()),
+            }
+            counts = cur.agg(*[c.alias(m) for m, c in asks.items()]).withColumn("column", F.lit(label))
+            computed(counts, steps[-1], list(asks))
+            counted(steps[-1], {(label, m): c for m, c in asks.items()})
         else:
             row(steps[-1], "rows_dropped", 0, column=label, note="label column not found")
-        cur = drop_missing_label(cur, label)
+        do(lambda d: drop_missing_label(d, label))
 
     for hook in hooks:
         steps.append(getattr(hook, "__name__", "hook"))
         try:
-            cur = hook(cur)
-            cur.schema  # analysis errors surface here, the input then stays as it was
+            after = hook(cur)
+            after.schema  # analysis errors surface here, the input then stays as it was
+            cur = after
+            passes.append(hook)
             row(steps[-1], "hook", 1)
         except Exception as e:  # noqa: BLE001 - a failing hook is reported, the run goes on
             row(steps[-1], "hook", 0, note=f"{type(e).__name__}: {e}")
@@ -396,7 +470,7 @@ def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) ->
             row(steps[-1], "missing_before", o.missing_before, column=c, note=str(o.cast.fill))
             row(steps[-1], "missing_after", o.missing_after, column=c, note=o.final_type)
             row(steps[-1], "fill_value", o.fill_value, column=c, note=str(o.cast.fill))
-        cur = apply_casts(cur, fitted)
+        do(lambda d: apply_casts(d, fitted))
 
     rare = config.get("rare_category") or {}
     rare_columns = [c.strip() for c in rare.get("columns") or [] if isinstance(c, str) and c.strip()]
@@ -411,7 +485,9 @@ def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) ->
                 steps[-1],
                 ["n_replaced", "n_levels_before", "n_levels_after"],
             )
-            cur = bucket_rare(cur, present, **options)
+            grouped.append(lazy[-1])
+            fitted_rare = fit_rare(cur, present, **options)
+            do(fitted_rare)
 
     for part, group in (config.get("value_mappings") or {}).items():
         group = group or {}
@@ -426,8 +502,11 @@ def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) ->
             row(steps[-1], "mapping", len(mapping), part=part, note=str(dict(mapping)))
         if present:
             computed(map_report(cur, present, mapping), steps[-1], ["n_affected"], part=part)
-            cur = map_values(cur, present, mapping)
+            hits = map_hits(cur, present, mapping)
+            counted(steps[-1], {(c, "n_affected"): F.coalesce(F.sum(hit), F.lit(0)) for c, hit in hits.items()}, part=part)
+            do(lambda d, present=present, mapping=mapping: map_values(d, present, mapping))
 
+    counted("high_level", {(None, "rows_after"): F.count("*")}, step_no=0)
     steps_seen = list(steps)
     whole = raw.agg(F.count("*").alias("rows_before"))
     whole_after = cur.agg(F.count("*").alias("rows_after"))
@@ -437,7 +516,9 @@ def run_cleaning(df: DataFrame, config: Mapping, hooks: Sequence[Hook] = ()) ->
     row("high_level", "cols_before", len(df.columns))
     row("high_level", "cols_after", len(cur.columns))
 
-    report = literal_rows(spark, fixed, REPORT_SCHEMA)
+    report = settled = literal_rows(spark, fixed, REPORT_SCHEMA)
     for frame in lazy:
         report = report.unionByName(frame)
-    return CleaningResult(cur, report, steps_seen, dict(config))
+    for frame in grouped:
+        settled = settled.unionByName(frame)
+    return CleaningResult(cur, report, steps_seen, dict(config), raw, passes, settled)
