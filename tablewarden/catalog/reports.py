@@ -16,7 +16,7 @@ from tablewarden.operators.hints import dedup_hints, flat_hints, invalid_hints
 
 from tablewarden.plans.batch_audit import STEPS, BatchRules, batch_reports
 from tablewarden.session import shared_folder
-from tablewarden.sources.reports import read_reports, write_reports
+from tablewarden.sources.reports import FILED, read_reports, write_reports
 
 register = Register()
 query = register.query
@@ -136,6 +136,25 @@ def reports_scan(spark, sf):
     )
 
 
+@query(
+    "reports_refiled",
+    f"""with {REPORTS} select stage, count(*) as n_stored, count(distinct run_id) as n_runs,
+    count(*) filter (ok and name <> 'readiness') as n_readable from r group by stage""",
+)
+def reports_refiled(spark, sf):
+    """All reports filed, then those named readiness once more, as lists: these replace the first ones."""
+    filed = faulty_reports(spark, sf).select("stage", "name", "run_id", "payload")
+    folder = shared_folder(spark, "reports")
+    write_reports(filed, folder)
+    write_reports(filed.where("name = 'readiness'").withColumn("payload", F.lit("[]")), folder)
+    stored = reports.parse(spark.read.schema(FILED).parquet(folder))
+    return stored.groupBy("stage").agg(
+        F.count("*").alias("n_stored"),
+        F.count_distinct("run_id").alias("n_runs"),
+        F.count_if(F.col("report").isNotNull()).alias("n_readable"),
+    )
+
+
 TOP = reports.REQUIRED_KEYS
 OLDER_PROBLEMS = "|".join(
     [f"missing:{k}" for k in TOP]

@@ -13,6 +13,7 @@ from tablewarden.operators.findings import FAIL, PASS, SKIPPED, WARN, union_all
 from tablewarden.operators.hints import flat_hints, normalised
 from tablewarden.operators.reports import Step, module_status
 from tablewarden.operators.segments import examples
+from tablewarden.session import numbered
 
 # --- files --------------------------------------------------------------------------------
 
@@ -66,8 +67,7 @@ def manifest(
 
 def _previewed(rows: DataFrame, order: list, preview: int) -> DataFrame:
     """Number the rows and mark those shown in the preview."""
-    numbered = rows.withColumn("file_no", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
-    return numbered.withColumn("in_preview", F.col("file_no") <= preview)
+    return numbered(rows, order, "file_no").withColumn("in_preview", F.col("file_no") <= preview)
 
 
 def inventory(
@@ -87,8 +87,7 @@ def inventory(
     limits = [max_files, page_size * max_pages if max_pages is not None else None]
     if given := [x for x in limits if x is not None]:
         files = files.orderBy(F.desc("modified_at"), "file").limit(min(given))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("modified_at"), "file")
-    return files.withColumn("file_no", F.row_number().over(order)).withColumns(
+    return numbered(files, [F.desc("modified_at"), "file"], "file_no").withColumns(
         {
             "page": F.ceil(F.col("file_no") / page_size).cast("int"),
             "step_hint": F.regexp_extract("file", r"^(.+)_[^_]+\.[^.]+$", 1),

@@ -7,7 +7,7 @@ import uuid
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,3 +53,23 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTyp
         F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
     ]
     return spark.range(1).select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
+
+
+def numbered(rows: DataFrame, order: Sequence[Column | str], name: str, parts: int | None = None) -> DataFrame:
+    """Add ``name``: 1, 2, 3... in the given order, without one task that holds all rows.
+
+    Rows are cut into ordered ranges and written once, sorted, to the shared folder; a row's number is its place
+    in its range after the sizes of the ranges before, of which the driver gets one number a range.
+    """
+    spark = rows.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    path = shared_folder(spark, "numbered")
+    cut.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    # the id holds the range in its upper 31 bits and the place in the lower 33
+    written = spark.read.parquet(path).withColumn("_range", F.shiftrightunsigned("_at", 33).cast("int"))
+    sizes = {r["_range"]: r["n"] for r in written.groupBy("_range").agg(F.count("*").alias("n")).collect()}
+    ahead = [str(sum(n for r, n in sizes.items() if r < i)) for i in range(max(sizes, default=0) + 1)]
+    before = F.get(F.split(F.lit(",".join(ahead)), ",").cast("array<long>"), F.col("_range"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return written.withColumn(name, (before + place + 1)).drop("_at", "_range")

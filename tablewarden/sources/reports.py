@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +13,18 @@ from tablewarden.operators.reports import STAGES, parse
 SAFE_PART = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
 
+FILED = "name string, run_id string, payload string, filed_at timestamp, stage string, part int"
+# Runs are dealt by hash to so many folders of a stage; a folder once filed to keeps its number.
+PARTS = 16
+
+
 def write_reports(reports: DataFrame, folder: str, *, stages: Sequence[str] = tuple(STAGES)) -> None:
-    """Append report rows as Parquet with the time of filing, one folder per stage.
+    """File report rows as Parquet with the time of filing, PARTS folders per stage.
 
-    Earlier filings stay on disk; readers take the newest.  A stage outside the list, or a name or run id that could leave the folder,
-    stops the write.
+    A report filed again replaces its earlier filing: the folders of the runs touched are written
+    anew, with the other reports they hold, and all others stay as they are (Spark's dynamic
+    partition overwrite moves finished folders into place).  One writer at a time.  A stage
+    outside the list, or a name or run id that could leave the folder, stops the write.
     """
     safe = F.col("name").rlike(SAFE_PART) & F.col("run_id").rlike(SAFE_PART)
     good = F.col("stage").isin(list(stages)) & safe
@@ -24,14 +32,30 @@ def write_reports(reports: DataFrame, folder: str, *, stages: Sequence[str] = tu
     stage = F.when(F.coalesce(good, F.lit(False)), F.col("stage")).otherwise(
         F.raise_error(F.concat(F.lit("report may not be filed: "), text)).cast("string")
     )
-    rows = reports.select("name", "run_id", "payload", F.current_timestamp().alias("filed_at"), stage.alias("stage"))
-    rows.write.mode("append").partitionBy("stage").parquet(folder)
+    rows = reports.select("name", "run_id", "payload", stage.alias("stage"))
+    # of one report filed twice in one call the greatest payload stays
+    rows = rows.groupBy("stage", "name", "run_id").agg(F.max("payload").alias("payload"))
+    part = F.pmod(F.xxhash64("run_id"), F.lit(PARTS)).cast("int")
+    rows = rows.select("name", "run_id", "payload", F.current_timestamp().alias("filed_at"), "stage", part.alias("part"))
+    try:
+        earlier = reports.sparkSession.read.schema(FILED).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        earlier = None
+    if earlier is not None:
+        touched = earlier.join(rows.select("stage", "part").distinct(), ["stage", "part"], "left_semi")
+        kept = touched.join(rows.select("stage", "name", "run_id"), ["stage", "name", "run_id"], "left_anti")
+        rows = rows.unionByName(kept)
+    # the rows of one folder go to one file
+    writer = rows.repartition("stage", "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("stage", "part").parquet(folder)
 
 
 def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Report rows written by ``write_reports``, parsed; of one stage, name and run the newest filing."""
-    df = spark.read.schema("name string, run_id string, payload string, filed_at timestamp, stage string").parquet(folder)
     newest = F.max_by("payload", F.struct("filed_at", "payload"))
+    df = spark.read.schema(FILED).parquet(folder)
     return parse(df.groupBy("stage", "name", "run_id").agg(newest.alias("payload")))
 
 
