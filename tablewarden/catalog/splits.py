@@ -98,6 +98,36 @@ def split_fallback(spark, sf):
     return plan.assign(df).select("o_orderkey", "split", *[F.lit(v).alias(k) for k, v in report.items()])
 
 
+MANY = STRATIFIED.replace("as label from orders", "as label, case when o_totalprice >= 20000 then o_custkey % 97 end as bucket from orders").replace(
+    "if(label = 'F', 1, 0) as y", "bucket as y"
+)
+
+
+def _bucketed(spark, sf):
+    return _orders(spark, sf).withColumn("bucket", F.when(F.col("label").isNotNull(), F.col("o_custkey") % 97))
+
+
+@query("split_many_classes", f"with {MANY} select o_orderkey, bucket, split from assigned")
+def split_many_classes(spark, sf):
+    """A label of 97 classes, with cut-offs in a table, as for many thousands; large classes are cut by hash digits."""
+    df = _bucketed(spark, sf)
+    plan = splits.fit_holdout(df, label="bucket", keys=["o_orderkey"], literal_classes=10, direct_limit=50)
+    return plan.assign(df).select("o_orderkey", "bucket", "split")
+
+
+@query(
+    "split_cv_many_classes",
+    f"""with {MANY.split(", v as")[0]}, v as (select *, bucket as y from ord where bucket is not null),
+    r as (select *, row_number() over (partition by y order by {_hash('o_orderkey', 42)}) as r, count(*) over (partition by y) as c from v)
+    select o.o_orderkey, o.bucket, case when r <= c // 3 then 0 when r <= 2 * c // 3 then 1 when r is not null then 2 end as fold
+    from ord o left join r using (o_orderkey)""",
+)
+def split_cv_many_classes(spark, sf):
+    df = _bucketed(spark, sf)
+    folds = splits.assign_folds(df, label="bucket", keys=["o_orderkey"], folds=3, literal_classes=10, direct_limit=50)
+    return folds.select("o_orderkey", "bucket", "fold")
+
+
 def _share(p: str) -> str:
     return f"round(count(*) filter (split = '{p}') / count(*), 4) as pct_{p}"
 

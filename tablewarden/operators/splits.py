@@ -18,14 +18,18 @@ from pyspark.sql import types as T
 
 from tablewarden.functions.numbers import binary_label, ratio
 from tablewarden.functions.text import row_id, text_of
+from tablewarden.operators.class_cuts import class_counts, cuts, join_classes, quotas
 from tablewarden.operators.order_stats import (
     DIRECT_LIMIT,
     hash_token,
     tokens_at_ranks,
     values_at_ranks,
 )
+from tablewarden.session import written
 
 PARTS = ["train", "val", "test"]
+# Up to so many classes have cut-offs in the plan; those of more classes are a table.
+LITERAL_CLASSES = 1_000
 EXCLUDED = "excluded"
 
 
@@ -74,12 +78,13 @@ def _check_strata(classes: int, least: int, n: int, drawn: int) -> None:
         raise _NoStrata("a part is smaller than the number of classes")
 
 
-def _class_counts(rows: DataFrame, drawn: int) -> dict[int, int]:
-    """Rows per class ``_y``, fetched only once one aggregate has shown that they can be stratified."""
+def _class_counts(rows: DataFrame, drawn: int, most: int) -> dict[int, int] | None:
+    """Rows per class ``_y``, fetched only once one aggregate has shown that they can be stratified, and
+    only up to ``most`` classes (None: there are more)."""
     counts = rows.groupBy("_y").agg(F.count("*").alias("n"))
     seen = counts.agg(F.count("*").alias("k"), F.min("n").alias("least"), F.sum("n").alias("n")).first()
     _check_strata(seen["k"], seen["least"], seen["n"], drawn)
-    return {r["_y"]: r["n"] for r in counts.collect()}
+    return {r["_y"]: r["n"] for r in counts.collect()} if seen["k"] <= most else None
 
 
 @dataclass
@@ -142,8 +147,12 @@ def fit_holdout(
     val_size: float = 0.20,
     seed: int = 42,
     direct_limit: int = DIRECT_LIMIT,
+    literal_classes: int = LITERAL_CLASSES,
 ) -> HoldoutPlan:
-    """Fit a random or stratified split.  ``keys`` must identify a row."""
+    """Fit a random or stratified split.  ``keys`` must identify a row.
+
+    The cut-offs of more than ``literal_classes`` classes are a table (see ``ClassPlan``).
+    """
     if label not in df.columns:
         raise SplitError(f"label column {label!r} not found")
     _check_fractions(test_size, val_size)
@@ -167,16 +176,19 @@ def fit_holdout(
     valid = base.filter("_known").withColumn("_all", F.lit(0))
 
     test_by_class = how == "stratified"
-    quotas = {0: n_test}
+    quota = {0: n_test}
     if test_by_class:
         try:
-            classes = _class_counts(valid, n_test)
-            quotas = stratum_quotas(classes, n_test)
+            classes = _class_counts(valid, n_test, literal_classes)
+            if classes is None:
+                settings = (label, positive, list(keys), seed, strategy)
+                return _fit_classes(valid, settings, (test_size, val_size), (n_total, n_valid, n_val, n_test), direct_limit)
+            quota = stratum_quotas(classes, n_test)
         except _NoStrata as e:
-            used, reason, test_by_class, quotas = "random_fallback", str(e), False, {0: n_test}
+            used, reason, test_by_class, quota = "random_fallback", str(e), False, {0: n_test}
     t1 = valid.withColumn("_t", hash_token(F.col("_id"), seed))
     stratum = "_y" if test_by_class else "_all"
-    test_cut = _cuts(t1, stratum, quotas, n_valid, direct_limit)
+    test_cut = _cuts(t1, stratum, quota, n_valid, direct_limit)
 
     rest = t1.filter(~_upto(F.col("_t"), F.col(stratum), test_cut)).withColumn(
         "_t", hash_token(F.col("_id"), seed + 1)
@@ -185,7 +197,7 @@ def fit_holdout(
     val_quotas = {0: n_val}
     if val_by_class:
         try:
-            left = {s: classes[s] - quotas[s] for s in classes} if test_by_class else _class_counts(rest, n_val)
+            left = {s: classes[s] - quota[s] for s in classes} if test_by_class else _class_counts(rest, n_val, n_valid)
             val_quotas = stratum_quotas({s: c for s, c in left.items() if c}, n_val)
         except _NoStrata:
             val_by_class, val_quotas = False, {0: n_val}
@@ -200,6 +212,64 @@ def fit_holdout(
     )
 
 
+@dataclass
+class ClassPlan(HoldoutPlan):
+    """Cut-offs of very many classes: ``cuts`` has (_y, test_cut, val_cut), so ``assign`` is a join with it, broadcast
+    where the classes are few enough, and the plan is of one size whatever their number."""
+
+    cuts: DataFrame | None = None
+    counts: DataFrame | None = None
+
+    def part(self, df: DataFrame) -> Column:
+        raise SplitError("the cut-offs of very many classes are a table; use assign")
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        rid = row_id(df, self.keys)
+        whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+        rows = df.select(
+            whole.alias("_row"), binary_label(df, self.label, self.positive).alias("_y"),
+            known_label(df, self.label).alias("_known"), rid.alias("_id"),
+        )
+        rows = join_classes(rows, self.cuts, self.counts, F.col("_id"), "left")
+        in_test = F.coalesce(hash_token(F.col("_id"), self.seed) <= F.col("test_cut"), F.lit(False))
+        val_token = hash_token(F.col("_id"), self.seed + 1)
+        cut = F.col("val_cut") if self.val_by_class else F.lit(self.val_cut.get(0)).cast("string")
+        in_val = F.coalesce(val_token <= cut, F.lit(False))
+        part = F.when(~F.col("_known"), EXCLUDED).when(in_test, "test").when(in_val, "val").otherwise("train")
+        return rows.select("_row.*", part.alias("split"))
+
+
+def _fit_classes(valid: DataFrame, settings: tuple, fractions: tuple, sizes: tuple, limit: int) -> ClassPlan:
+    """A stratified split by tables: quotas, cut-offs and the rows left are never fetched."""
+    seed, (n_total, n_valid, n_val, n_test) = settings[3], sizes
+    tokens = written(valid.select("_y", "_id"), "tokens")
+    counts = class_counts(tokens)
+
+    def cut_table(rows: DataFrame, quota: DataFrame, seed: int, name: str) -> DataFrame:
+        asked = quota.select("_y", "c", F.array("quota").alias("ranks"))
+        found = cuts(rows.select("_y", hash_token(F.col("_id"), seed).alias("_t")), asked, counts, limit)
+        return written(found.select("_y", F.get("cuts", F.lit(0)).alias(name)), name)
+
+    quota = written(quotas(counts, n_valid, n_test), "quotas")
+    table = cut_table(tokens, quota, seed, "test_cut")
+    out = join_classes(tokens, table, counts, F.col("_id"), "left")
+    rest = written(out.filter(~F.coalesce(hash_token(F.col("_id"), seed) <= F.col("test_cut"), F.lit(False))).select("_y", "_id"), "rest")
+    left = written(quota.select("_y", (F.col("c") - F.col("quota")).alias("c")).filter("c > 0"), "left")
+    seen = left.agg(F.count("*").alias("k"), F.min("c").alias("least"), F.sum("c").alias("n")).first()
+    used, reason, val_cut, by_class = "stratified", None, {}, True
+    try:
+        _check_strata(seen["k"], seen["least"], seen["n"], n_val)
+        table = table.join(cut_table(rest, quotas(left, seen["n"], n_val), seed + 1, "val_cut"), "_y", "full")
+    except _NoStrata:
+        used, reason, by_class = "random_fallback_val", "the rows left after the test part allow no strata", False
+        drawn = rest.select(F.lit(0).alias("_all"), hash_token(F.col("_id"), seed + 1).alias("_t"))
+        val_cut = _cuts(drawn, "_all", {0: n_val}, n_valid - n_test, limit)
+    return ClassPlan(
+        *settings, used, reason, *fractions, n_total, n_valid, True, by_class, {}, val_cut,
+        cuts=written(table, "cuts"), counts=counts,
+    )
+
+
 def _cuts(df: DataFrame, stratum: str, quotas: Mapping[int, int], n: int, limit: int) -> dict[int, str]:
     found = tokens_at_ranks(df, "_t", stratum, {s: [q] for s, q in quotas.items()}, n, direct_limit=limit)
     return {s: t for (s, _), t in found.items()}
@@ -335,6 +405,7 @@ def assign_folds(
     stratified: bool = True,
     seed: int = 42,
     direct_limit: int = DIRECT_LIMIT,
+    literal_classes: int = LITERAL_CLASSES,
 ) -> DataFrame:
     """Column ``fold`` in 0..folds-1, sizes per class differing by at most one; NULL without label.
 
@@ -350,8 +421,11 @@ def assign_folds(
     ).filter("_known")
     per_class = base.groupBy("_y").agg(F.count("*").alias("n"))
     # the least class is looked at before any class is fetched
-    if (per_class.agg(F.min("n")).first()[0] or 0) < folds:
+    seen = per_class.agg(F.count("*").alias("k"), F.min("n").alias("least")).first()
+    if (seen["least"] or 0) < folds:
         raise SplitError(f"every class needs at least {folds} labelled rows")
+    if seen["k"] > literal_classes:
+        return _folds_by_table(df, base, label, positive, keys, folds, seed, direct_limit)
     counts = {r["_y"]: r["n"] for r in per_class.collect()}
     ends = {s: [c * (f + 1) // folds for f in range(folds - 1)] for s, c in counts.items()}
     tokens = base.withColumn("_t", hash_token(F.col("_id"), seed))
@@ -366,6 +440,24 @@ def assign_folds(
     return df.withColumn("fold", F.when(known_label(df, label), passed))
 
 
+def _folds_by_table(
+    df: DataFrame, base: DataFrame, label: str, positive: str | None, keys: Sequence[str], folds: int, seed: int, limit: int
+) -> DataFrame:
+    """Folds of very many classes: the fold ends are a table."""
+    tokens = written(base.select("_y", hash_token(F.col("_id"), seed).alias("_t")), "tokens")
+    counts = class_counts(tokens)
+    ends = F.array(*[F.floor(F.col("c") * f / folds).cast("long") for f in range(1, folds)])
+    table = written(cuts(tokens, counts.select("_y", "c", ends.alias("ranks")), counts, limit), "folds")
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+        binary_label(df, label, positive).alias("_y"),
+        F.when(known_label(df, label), hash_token(row_id(df, keys), seed)).alias("_t"),
+    )
+    rows = join_classes(rows, table, counts, F.col("_t"), "left")
+    passed = F.size(F.filter("cuts", lambda c: c < F.col("_t")))
+    return rows.select("_row.*", F.when(F.col("_t").isNotNull(), passed).alias("fold"))
+
+
 # --- advice ---------------------------------------------------------------------------------
 
 

@@ -55,6 +55,14 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTyp
     return spark.range(1).select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df``, written once to the shared folder and read back: several later jobs start from the files, also
+    after executors were lost."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def numbered(rows: DataFrame, order: Sequence[Column | str], name: str, parts: int | None = None) -> DataFrame:
     """Add ``name``: 1, 2, 3... in the given order, without one task that holds all rows.
 
