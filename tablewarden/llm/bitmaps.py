@@ -8,6 +8,7 @@ uses it joins afterwards, so that its size decides speed alone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,18 @@ from pyspark.sql import functions as F
 
 BITS = 26
 MAP_BYTES = 4096
+_OPEN: list[list[Broadcast]] = []
+
+
+@contextmanager
+def scoped() -> Iterator[None]:
+    """Bitmaps made inside are freed at the end; what used them must be written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for made in _OPEN.pop():
+            made.destroy()
 
 
 def bitmap(df: DataFrame, column: str, bits: int = BITS) -> Broadcast:
@@ -28,7 +41,10 @@ def bitmap(df: DataFrame, column: str, bits: int = BITS) -> Broadcast:
     whole = bytearray(1 << bits - 3)
     for r in maps.toLocalIterator():
         whole[(r["bucket"] - 1) * MAP_BYTES : r["bucket"] * MAP_BYTES] = r["map"]
-    return df.sparkSession.sparkContext.broadcast(bytes(whole))
+    made = df.sparkSession.sparkContext.broadcast(bytes(whole))
+    if _OPEN:
+        _OPEN[-1].append(made)
+    return made
 
 
 def listed(bits_of: np.ndarray, keys: np.ndarray, bits: int = BITS) -> np.ndarray:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bitmaps import bitmap, listed, only_listed
+from .bitmaps import bitmap, listed, only_listed, scoped
 from .components import components
 from .running import running_sum
 from .skew import hot_keys, salted_join
@@ -27,6 +27,8 @@ MOST_COUNT = 32767
 FINE_FROM, FINE_MOST = 2048, 1 << 16
 LEAF = 1024
 FIRST_PAIRS = 4
+LOW_MARKS = 32
+NO_MARK = (1 << 63) - 1
 NO_ID = (1 << 63) - 1
 SECOND = 0x3C79AC492BA7B653
 
@@ -223,12 +225,27 @@ def _fit(both: tuple[np.ndarray, np.ndarray], n: np.ndarray, i: np.ndarray, j: n
     return out
 
 
+def _met_before(low: np.ndarray, mark: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs are known to share a mark less than this one: there they are listed already."""
+    out = np.zeros(len(i), bool)
+    for c in range(0, len(i), 4096):
+        a, b = low[i[c : c + 4096]], low[j[c : c + 4096]]
+        # lists end in NO_MARK, which is less than no mark
+        both = (a[:, :, None] == b[:, None, :]) & (a < mark[i[c : c + 4096], None])[:, :, None]
+        out[c : c + 4096] = both.any((1, 2))
+    return out
+
+
 def _columns(batch) -> tuple:
     mark, v, label, n = (batch[c].to_numpy(zero_copy_only=False) for c in ("mark", "v", "label", "n"))
-    point = batch["point"]
-    flat = (point.combine_chunks() if isinstance(point, pa.ChunkedArray) else point).flatten()
-    points = flat.to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
-    return mark, v, label, n, (points.reshape(-1, COARSE, COORDINATES // COARSE).sum(2, dtype=np.int32), points)
+
+    def matrix(name: str, width: int) -> np.ndarray:
+        lists = batch[name]
+        flat = (lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists).flatten()
+        return flat.to_numpy(zero_copy_only=False).reshape(-1, width)
+
+    points = matrix("point", COORDINATES)
+    return mark, v, label, n, matrix("low", LOW_MARKS), (points.reshape(-1, COARSE, COORDINATES // COARSE).sum(2, dtype=np.int32), points)
 
 
 def _small_groups(num: int, den: int):
@@ -254,7 +271,7 @@ def _small_groups(num: int, den: int):
 
 
 def _pairs_of(table: pa.Table, num: int, den: int) -> pa.RecordBatch:
-    mark, v, label, n, points = _columns(table)
+    mark, v, label, n, low, points = _columns(table)
     at, step, found = np.arange(len(mark)), 1, []
     while True:
         at = at[at + step < len(mark)]
@@ -265,7 +282,9 @@ def _pairs_of(table: pa.Table, num: int, den: int) -> pa.RecordBatch:
         for c in range(0, len(i), 8192):
             k = i[c : c + 8192]
             most = _fit(points, n, k, k + step, num, den)
-            found.append((k[most >= 0], k[most >= 0] + step, most[most >= 0]))
+            k, most = k[most >= 0], most[most >= 0]
+            new = ~_met_before(low, mark, k, k + step)
+            found.append((k[new], k[new] + step, most[new]))
         step += 1
     return _pair_rows(v, label, found)
 
@@ -284,14 +303,16 @@ def _leaf_pair(num: int, den: int):
 
     def run(table: pa.Table) -> pa.Table:
         leaf = table["leaf"].to_numpy()
-        _, v, label, n, points = _columns(table)
+        mark, v, label, n, low, points = _columns(table)
         first, second = np.flatnonzero(leaf == leaf.min()), np.flatnonzero(leaf == leaf.max())
         found = []
         for i in first:
             others = second[second > i] if leaf.min() == leaf.max() else second
             others = others[label[others] != label[i]]
             most = _fit(points, n, np.full(len(others), i), others, num, den)
-            found.append((np.full(int((most >= 0).sum()), i), others[most >= 0], most[most >= 0]))
+            others, most = others[most >= 0], most[most >= 0]
+            new = ~_met_before(low, mark, np.full(len(others), i), others)
+            found.append((np.full(int(new.sum()), i), others[new], most[new]))
         return pa.Table.from_batches([_pair_rows(v, label, found)])
 
     return run
@@ -300,6 +321,16 @@ def _leaf_pair(num: int, den: int):
 PAIR = "a long, b long, la long, lb long, most long"
 
 
+def _box(table: pa.Table) -> pa.Table:
+    """The box of a leaf (LEAF points at most): sizes, greatest counts, labels."""
+    points = table["point"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+    ends = {f"{name}": [fn(table[c]).as_py()] for name, fn, c in (
+        ("lo", pa.compute.min, "n"), ("hi", pa.compute.max, "n"), ("l0", pa.compute.min, "label"), ("l1", pa.compute.max, "label"))}
+    box = pa.array([points.max(0)], pa.list_(pa.int16()))
+    one = {"mark": table["mark"][:1], "leaf": table["leaf"][:1], "lo": ends["lo"], "hi": ends["hi"], "box": box, "l0": ends["l0"], "l1": ends["l1"]}
+    return pa.table(one)
+
+
 def _tree_pairs(members: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of different labels that the R-trees let pass: (mark, v, label) and (v, n, point) to
     (a, b, la, lb, most).
@@ -308,21 +339,23 @@ def _tree_pairs(members: DataFrame, points: DataFrame, num: int, den: int) -> Da
     leaf's box has the greatest count of every coordinate and the range of sizes. Pairs of
     leaves go on only if the summed minima of their boxes allow the overlap that the
     least sizes need; then points are compared in the same way. A tree of one leaf
-    (most are) needs no boxes.
+    (most are) needs no boxes. Two sets share many marks: every set carries its
+    LOW_MARKS least ones, and a pair is listed only where these show no lesser one in common,
+    so about once.
     """
-    members = materialise(members.join(points, "v"), "members")
+    low = F.sort_array(F.collect_list("mark"))
+    low = F.slice(F.concat(low, F.array_repeat(F.lit(NO_MARK), LOW_MARKS)), 1, LOW_MARKS)
+    members = materialise(members.join(points.join(members.groupBy("v").agg(low.alias("low")), "v"), "v"), "members")
     sizes = materialise(members.groupBy("mark").agg(F.count("*").alias("_n")).where(F.col("_n") > LEAF), "large")
-    small = members.join(sizes, "mark", "left_anti").select("mark", "v", "label", "n", "point")
+    small = members.join(sizes, "mark", "left_anti").select("mark", "v", "label", "n", "point", "low")
     found = small.repartition("mark").sortWithinPartitions("mark").mapInArrow(_small_groups(num, den), PAIR)
 
     large = materialise(members.join(sizes.select("mark"), "mark").withColumn("one", F.lit(1)), "large-members")
     packed = running_sum(large, ["mark"], "n", ["v"], "one", "_at")
     packed = materialise(packed.withColumn("leaf", F.floor(F.col("_at") / LEAF)), "leaves")
-    corner = F.array(*[F.max(F.get("point", F.lit(i))) for i in range(COORDINATES)])
-    boxes = packed.groupBy("mark", "leaf").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), corner.alias("box"),
-        F.min("label").alias("l0"), F.max("label").alias("l1"),
-    )
+    boxes = packed.select("mark", "leaf", "n", "label", "point").groupBy("mark", "leaf").applyInArrow(
+        _box, "mark long, leaf long, lo long, hi long, box array<smallint>, l0 long, l1 long"
+    )
     boxes = materialise(boxes, "boxes")
     other = boxes.select("mark", *[F.col(c).alias(f"{c}_") for c in ("leaf", "lo", "hi", "box", "l0", "l1")])
     pairs = boxes.join(other, "mark").where(
@@ -337,7 +370,7 @@ def _tree_pairs(members: DataFrame, points: DataFrame, num: int, den: int) -> Da
     )
     pairs = pairs.select("mark", F.col("leaf").alias("p"), F.col("leaf_").alias("q"))
     sides = pairs.withColumn("leaf", F.explode(F.array_distinct(F.array("p", "q"))))
-    met = sides.join(packed.select("mark", "leaf", "v", "label", "n", "point"), ["mark", "leaf"])
+    met = sides.join(packed.select("mark", "leaf", "v", "label", "n", "point", "low"), ["mark", "leaf"])
     found = found.union(met.groupBy("mark", "p", "q").applyInArrow(_leaf_pair(num, den), PAIR))
     return found.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("la", "lb", "most")])
 
@@ -357,6 +390,12 @@ def _verified(pairs: DataFrame, own: DataFrame, k: int, num: int, den: int) -> D
 
 
 def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """See ``_labelled``; its bitmaps are freed."""
+    with scoped():
+        return _labelled(docs, shingle, similar_at, key, text)
+
+
+def _labelled(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(documents, classes): id, d, k, set size n and class v of every document; label (the
     component) and least id of every class. See ``near_duplicates``."""
     num, den = similar_at
