@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import Hasher, letter_words, slices, space_words, text_of_word
+from .words import SLICE_BYTES, Hasher, letter_words, slices, space_words, text_of_word
 
 SAMPLE = 6000
 LATENT = 48
@@ -196,6 +196,28 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(columns)
 
 
+def _train(latent: int, neighbours: int):
+    """All rows of the sample, in order, to the parts of the model fitted on them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts, shapes, labels = [], [], [], []
+        for batch in batches:
+            ids += batch["ids"].to_pylist()
+            counts += batch["counts"].to_pylist()
+            shapes += batch["shapes"].to_pylist()
+            labels += batch["quality"].to_pylist()
+        ends = np.cumsum([0, *(len(x) // 2 for x in ids)])
+        joined = [np.frombuffer(b"".join(x), kind) for x, kind in ((ids, np.uint16), (counts, np.float32), (shapes, np.float32))]
+        ids = counts = shapes = None
+        model = train(Terms(ends, joined[0], joined[1], joined[2].reshape(-1, SHAPES)), np.array(labels), latent, neighbours)
+        parts = {n: getattr(model, n).tobytes() for n in ("idf", "axes", "vectors", "labels")} | {"kind": model.vectors.dtype.str.encode()}
+        rows = [(n, i, x[a : a + SLICE_BYTES]) for n, x in parts.items() for i, a in enumerate(range(0, len(x), SLICE_BYTES))]
+        types = [pa.string(), pa.int32(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types)], ["name", "part", "body"])
+
+    return run
+
+
 def held_out(key: str = "doc_id"):
     """crc32 of the key as text, mod 3, is 1; a null key counts as the empty text."""
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
@@ -213,8 +235,9 @@ def fit(
     label: str = "quality",
 ) -> Model:
     """Fit on at most ``sample`` labelled rows that are not held out, the first in order of a hash
-    of the key. Their terms (6 bytes for each different one, at most 74 KB a row) are what
-    the driver gets; labels other than 0 and 1 and keys without a document teach nothing."""
+    of the key. Their terms (6 bytes for each different one, at most 74 KB a row) meet in one task,
+    which sends the driver the axes and vectors, about 3 MB; labels other than 0 and 1 and keys
+    without a document teach nothing."""
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(key)).groupBy(key).agg(F.min(label).alias("quality"))
     known = known.withColumn("o", F.xxhash64(key))
     # the bound is taken among keys that have a document; only their texts are read
@@ -223,12 +246,17 @@ def fit(
     rows = rows.withColumn("h", F.xxhash64("text"))
     kind = dict(rows.dtypes)["quality"]
     counted = rows.mapInArrow(_terms, f"o long, h long, quality {kind}, ids binary, counts binary, shapes binary")
-    got = counted.orderBy("o", "h").limit(sample).collect()
-    ids = np.frombuffer(b"".join(r["ids"] for r in got), np.uint16)
-    counts = np.frombuffer(b"".join(r["counts"] for r in got), np.float32)
-    shapes = np.frombuffer(b"".join(r["shapes"] for r in got), np.float32).reshape(-1, SHAPES)
-    ends = np.cumsum([0, *(len(r["ids"]) // 2 for r in got)])
-    return train(Terms(ends, ids, counts, shapes), np.array([r["quality"] for r in got]), latent, neighbours)
+    bounded = counted.orderBy("o", "h").limit(sample).drop("o", "h")
+    first = bounded.coalesce(1).mapInArrow(_train(latent, neighbours), "name string, part int, body binary").orderBy("name", "part")
+    bodies: dict[str, bytes] = {}
+    for r in first.toLocalIterator():
+        bodies[r["name"]] = bodies.get(r["name"], b"") + r["body"]
+    if not bodies:
+        return train(Terms(np.zeros(1, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.float32), np.zeros((0, SHAPES), np.float32)), np.zeros(0), latent, neighbours)
+    idf, axes = (np.frombuffer(bodies[n], np.float32) for n in ("idf", "axes"))
+    taught = np.frombuffer(bodies["labels"], np.float64)
+    vectors = np.frombuffer(bodies["vectors"], bodies["kind"].decode()).reshape(len(taught), -1)
+    return Model(idf, axes.reshape(TERMS + SHAPES, -1), vectors, taught, neighbours)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
