@@ -14,10 +14,10 @@ def all_sql() -> dict[str, str]:
 
 
 def _merged(attribute: str) -> dict:
-    from tablewarden.catalog import cleaning, integrity, profile, reports, splits
+    from tablewarden.catalog import cleaning, files, integrity, profile, reports, splits
 
     out: dict = {}
-    for module in (profile, cleaning, integrity, splits, reports):
+    for module in (profile, cleaning, integrity, splits, reports, files):
         part = getattr(module, attribute)
         if twice := out.keys() & part.keys():
             raise ValueError(f"queries registered twice: {sorted(twice)}")

@@ -217,7 +217,7 @@ def reports_shape(spark, sf):
 )
 def reports_upstream(spark, sf):
     blocks = reports.upstream_blocks(reports.parse(faulty_reports(spark, sf)))
-    return blocks.drop("key_metrics").withColumns({c: F.array_join(c, "|") for c in ("issues", "warnings")})
+    return blocks.drop("key_metrics", "source_path", "load_meta").withColumns({c: F.array_join(c, "|") for c in ("issues", "warnings")})
 
 
 @query(

@@ -14,18 +14,20 @@ from tablewarden.operators.hints import flat_hints, normalised
 from tablewarden.operators.reports import Step, module_status
 from tablewarden.operators.segments import examples
 from tablewarden.session import numbered
+from tablewarden.sources.reports import file_glob, file_name
 
 # --- files --------------------------------------------------------------------------------
 
 
 def _files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
-    """Files of one folder; their content is read only where a query selects it."""
+    """Files of one folder, also those Spark wrote into folders ``file=``; content is read only where a query selects it."""
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
+        .option("pathGlobFilter", file_glob(suffix))
         .option("recursiveFileLookup", False)
         .load(folder)
-        .withColumn("file", F.element_at(F.split("path", "/"), -1))
+        .withColumn("file", file_name())
+        .filter(F.col("file").endswith(suffix))
     )
 
 
@@ -57,7 +59,7 @@ def manifest(
     read = spark.read.format("binaryFile").load(paths)
     rows = read.select(
         "path",
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        file_name().alias("file"),
         "length",
         "modificationTime",
         F.sha2("content", 256).alias("sha256"),
@@ -78,16 +80,18 @@ def inventory(
     max_files: int | None = None,
     page_size: int = 200,
     max_pages: int | None = None,
+    by: str = "mtime",
 ) -> DataFrame:
-    """All files, newest first, in pages; no content is read. A limit the caller sets keeps the newest."""
+    """All files, newest first or by name, in pages; no content is read. A limit the caller sets keeps the first."""
+    order = ["file"] if by == "name" else [F.desc("modified_at"), "file"]
     files = (
         _files(spark, folder, suffix)
         .select("file", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
     )
     limits = [max_files, page_size * max_pages if max_pages is not None else None]
     if given := [x for x in limits if x is not None]:
-        files = files.orderBy(F.desc("modified_at"), "file").limit(min(given))
-    return numbered(files, [F.desc("modified_at"), "file"], "file_no").withColumns(
+        files = files.orderBy(*order).limit(min(given))
+    return numbered(files, order, "file_no").withColumns(
         {
             "page": F.ceil(F.col("file_no") / page_size).cast("int"),
             "step_hint": F.regexp_extract("file", r"^(.+)_[^_]+\.[^.]+$", 1),

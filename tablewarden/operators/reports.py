@@ -286,8 +286,22 @@ def has_missing_module_report() -> Column:
     return F.array_contains(warnings(), MISSING_REPORT)
 
 
-def upstream_blocks(parsed: DataFrame) -> DataFrame:
-    """A compact status line per report."""
+def upstream_blocks(parsed: DataFrame, requested: str | None = None) -> DataFrame:
+    """A compact status line per report, with where it was read and how it was chosen.
+
+    ``source_path`` is the column ``path`` of reports read from files (NULL for others).  ``load_meta`` tells the run
+    asked for and the run found, whether these differ (``fell_back``), and whether the report goes by its current or an
+    older name (``mode``), as far as ``requested_or_latest`` and ``preferred_name`` have said so.
+    """
+
+    def known(name: str, kind: str) -> Column:
+        return F.col(name) if name in parsed.columns else F.lit(None).cast(kind)
+
+    meta = F.struct(
+        F.lit(requested).cast("string").alias("requested_run"), F.col("run_id").alias("loaded_run"),
+        known("fell_back", "boolean").alias("fell_back"), known("mode", "string").alias("mode"),
+        is_readable().alias("readable"),
+    )
     return parsed.select(
         "run_id",
         "stage",
@@ -298,6 +312,8 @@ def upstream_blocks(parsed: DataFrame) -> DataFrame:
         issues().alias("issues"),
         warnings().alias("warnings"),
         metrics().alias("key_metrics"),
+        known("path", "string").alias("source_path"),
+        meta.alias("load_meta"),
     )
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.operators.reports import STAGES, parse
@@ -59,17 +60,39 @@ def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     return parse(df.groupBy("stage", "name", "run_id").agg(newest.alias("payload")))
 
 
+def file_name() -> Column:
+    """Name of a file, or of the ``file=...`` folder that Spark wrote it in."""
+    path = F.col("_metadata.file_path")
+    folder = F.regexp_extract(path, "/file=([^/]+)/[^/]+$", 1)
+    return F.when(folder != "", folder).otherwise(F.element_at(F.split(path, "/"), -1))
+
+
+def file_glob(suffix: str) -> str:
+    """Files with the suffix, and those Spark names itself; ``file_name`` then tells which of these belong."""
+    return "{*" + suffix + ",part-*}"
+
+
+def write_report_files(reports: DataFrame, folder: str) -> None:
+    """One file per report, in a folder ``file={stage}_{name}_{run_id}.json``.
+
+    Of a report given twice the greatest payload is written. An existing folder is an error.
+    """
+    one = reports.groupBy("stage", "name", "run_id").agg(F.max("payload").alias("value"))
+    name = F.concat(F.concat_ws("_", "stage", "name", "run_id"), F.lit(".json"))
+    one.select("value", name.alias("file")).write.partitionBy("file").text(folder)
+
+
 def read_report_files(
-    spark: SparkSession, folder: str, *, stages: Sequence[str] = tuple(STAGES), pattern: str = "*.json"
+    spark: SparkSession, folder: str, *, stages: Sequence[str] = tuple(STAGES), suffix: str = ".json"
 ) -> DataFrame:
-    """JSON files named ``{stage}_{name}_{run_id}.json``, one report each.
+    """JSON files named ``{stage}_{name}_{run_id}.json``, one report each, or folders ``file=`` and that name.
 
     Whole files are read as text, so a broken file or a list stays one row
     whose ``report`` is NULL, and does not become several valid ones.
     """
-    name_of = r"^(" + "|".join(stages) + r")_(.+)_([^_]+)\.json$"
-    files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
-    file = F.col("_metadata.file_name")
+    name_of = r"^(" + "|".join(stages) + r")_(.+)_([^_]+)" + re.escape(suffix) + "$"
+    files = spark.read.option("pathGlobFilter", file_glob(suffix)).text(folder, wholetext=True)
+    file = file_name()
     rows = files.select(
         F.regexp_extract(file, name_of, 1).alias("stage"),
         F.regexp_extract(file, name_of, 2).alias("name"),
