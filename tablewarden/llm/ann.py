@@ -14,10 +14,20 @@ QUERY_BLOCK = 2048
 DEGREE = 32
 BEAM = 64
 RELAX = 1.2
+ASKED_RELAX = 2.0
+ROUNDS = 2
+STARTS = 16
 AT_ONCE = 4
 BATCH = 256
 
 
+def unit_scaled(x: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """Times a power of two (one for all, or one along ``axis``), so that the largest component lies in [0.5, 1): no
+    product ranks otherwise, and no finite double leaves the range of float32."""
+    top = np.max(np.abs(x), axis=axis, keepdims=axis is not None, initial=0.0)
+    return np.ldexp(x, -np.frexp(top)[1])
+
+
 def lifted(x: np.ndarray) -> np.ndarray:
     """Vectors with one more component, so that all have one length: the largest inner product
     with a query is then the least distance to it."""
@@ -26,9 +36,10 @@ def lifted(x: np.ndarray) -> np.ndarray:
 
 
 def beam_search(
-    x: np.ndarray, sq: np.ndarray, graph: np.ndarray, entry: int, q: np.ndarray, beam: int
+    x: np.ndarray, sq: np.ndarray, graph: np.ndarray, starts: np.ndarray, q: np.ndarray, beam: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """For every row of ``q`` the ``beam`` nearest points met on the way: ids (-1: none), distances.
+    """For every row of ``q`` the ``beam`` nearest points met on the way from ``starts`` (at most ``beam``, all
+    different): ids (-1: none), distances.
 
     All queries advance together: each step opens the AT_ONCE nearest points that are not
     open yet and merges their neighbours into the beam.
@@ -38,9 +49,9 @@ def beam_search(
     dist = np.full((n, beam), np.inf, np.float32)
     opened = np.zeros((n, beam), bool)
     seen = np.zeros((n, len(x)), bool)
-    ids[:, 0] = entry
-    dist[:, 0] = sq[entry] - 2 * (q @ x[entry])
-    seen[:, entry] = True
+    ids[:, : len(starts)] = starts
+    dist[:, : len(starts)] = sq[starts] - 2 * (q @ x[starts].T)
+    seen[:, starts] = True
     live = np.arange(n)
     while len(live):
         r = rows[: len(live)]
@@ -72,12 +83,14 @@ def beam_search(
     return np.take_along_axis(ids, order, 1), np.take_along_axis(dist, order, 1)
 
 
-def robust_prune(x: np.ndarray, points: np.ndarray, cand: np.ndarray, degree: int, relax: float) -> np.ndarray:
+def robust_prune(
+    x: np.ndarray, points: np.ndarray, cand: np.ndarray, degree: int, relax: float, seen_from: np.ndarray | None = None
+) -> np.ndarray:
     """Out-edges of each point from its candidates (-1: none): take the nearest, drop every candidate
-    that lies ``relax`` times nearer to it than to the point, and so on."""
+    that lies ``relax`` times nearer to it than to the point (or the place given for it), and so on."""
     b, c = cand.shape
     vec = x[np.maximum(cand, 0)]
-    diff = vec - x[points][:, None, :]
+    diff = vec - (x[points] if seen_from is None else seen_from)[:, None, :]
     d = np.einsum("bcd,bcd->bc", diff, diff)
     bad = (cand < 0) | (cand == points[:, None])
     d[bad] = np.inf
@@ -97,15 +110,41 @@ def robust_prune(x: np.ndarray, points: np.ndarray, cand: np.ndarray, degree: in
     return out
 
 
+def starts_of(x: np.ndarray, entry: int, most: int = STARTS) -> np.ndarray:
+    """Where searches begin: the entry point and the longest vectors (those with the least lift)."""
+    longest = np.argsort(x[:, -1], kind="stable")[:most]
+    return np.concatenate([[entry], longest[longest != entry][: most - 1]])
+
+
 def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: float = RELAX) -> tuple[np.ndarray, int]:
     """(neighbours, entry point) of the graph over all vectors, which should be distinct.
 
     Points come in batches: a greedy search over the graph so far proposes neighbours,
     which are pruned; edges are added both ways, and full lists pruned again.
+
+    Queries carry no lift, so they lie off the points' sphere, and what they look for is seldom near to what they meet on
+    it. So every point then asks like a query, in ROUNDS rounds over the graph so far: the pruned answers (with
+    ASKED_RELAX, as all of them are far from who asks) are further edges.
     """
     x = lifted(vectors)
     n = len(x)
     sq = np.einsum("nd,nd->n", x, x)
+    graph, entry = _sphere_graph(x, sq, degree, beam, relax)
+    asker = x.copy()
+    asker[:, -1] = 0
+    starts, asked = starts_of(x, entry, min(STARTS, beam)), np.full((n, 0), -1)
+    for _ in range(ROUNDS):
+        edges, over = np.full((n, degree), -1), np.hstack([graph, asked])
+        for a in range(0, n, BATCH):
+            own = np.arange(a, min(n, a + BATCH))
+            cand, _ = beam_search(x, sq, over, starts, asker[own], beam)
+            edges[own] = robust_prune(x, own, cand, degree, ASKED_RELAX, asker[own])
+        asked = edges
+    return np.hstack([graph, asked]).astype(np.int32), entry
+
+
+def _sphere_graph(x: np.ndarray, sq: np.ndarray, degree: int, beam: int, relax: float) -> tuple[np.ndarray, int]:
+    n = len(x)
     centre = x.mean(0)
     entry = int(np.argmin(sq - 2 * (x @ centre)))
     order = np.random.default_rng(n).permutation(n)
@@ -115,7 +154,7 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, rel
     done, size = 1, 16
     while done < n:
         batch = order[done : done + size]
-        cand, _ = beam_search(x, sq, graph, entry, x[batch], beam)
+        cand, _ = beam_search(x, sq, graph, order[:1], x[batch], beam)
         # points of one batch may be each other's nearest too
         mates = np.repeat(batch[None, :], len(batch), 0)
         near = sq[mates] - 2 * (x[batch] @ x[batch].T)
@@ -143,7 +182,7 @@ def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM, rel
                     fill[own] = (pruned >= 0).sum(1)
         done += len(batch)
         size = min(2 * size, BATCH)
-    return graph.astype(np.int32), entry
+    return graph, entry
 
 
 def _index(degree: int, beam: int, relax: float):
@@ -153,7 +192,7 @@ def _index(degree: int, beam: int, relax: float):
         dim = table["dim"][0].as_py()
         flat = table["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         x = flat.reshape(len(ids), dim)[order]
-        graph, entry = build_graph(x.astype(np.float32), degree, beam, relax)
+        graph, entry = build_graph(unit_scaled(x).astype(np.float32), degree, beam, relax)
         cells = {"ids": ids[order].tobytes(), "vectors": x.tobytes(), "graph": graph.tobytes()}
         return pa.table(
             {"dim": pa.array([dim], pa.int32()), "shard": [table["shard"][0].as_py()], "entry": [entry]} | {k: [v] for k, v in cells.items()}
@@ -172,14 +211,15 @@ def _search(k: int, beam: int):
             vectors = np.frombuffer(shard["vectors"][at].as_py(), np.float64).reshape(-1, dim)
             graph = np.frombuffer(shard["graph"][at].as_py(), np.int32).reshape(len(ids), -1)
             entry = shard["entry"][at].as_py()
-            x = lifted(vectors.astype(np.float32))
+            x = lifted(unit_scaled(vectors).astype(np.float32))
             sq = np.einsum("nd,nd->n", x, x)
+            starts = starts_of(x, entry, min(STARTS, beam))
             qid = queries["query_id"].to_numpy()
             q = queries["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
             for a in range(0, len(q), BATCH):
                 own = q[a : a + BATCH]
-                flat = np.hstack([own, np.zeros((len(own), 1))]).astype(np.float32)
-                near, _ = beam_search(x, sq, graph, entry, flat, beam)
+                flat = np.hstack([unit_scaled(own, 1), np.zeros((len(own), 1))]).astype(np.float32)
+                near, _ = beam_search(x, sq, graph, starts, flat, beam)
                 score = np.einsum("bcd,bd->bc", vectors[np.maximum(near, 0)], own)
                 score[near < 0] = -np.inf
                 # nearest first, ties to the smaller id
