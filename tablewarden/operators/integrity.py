@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tablewarden.functions.numbers import ratio
 from tablewarden.functions.text import MISSING_CATEGORY, norm_category, row_id, text_of
 from tablewarden.operators.findings import FAIL, PASS, SKIPPED, WARN
-from tablewarden.operators.order_stats import bucket_count, ordered_buckets, text_rank
+from tablewarden.operators.order_stats import bucket_count, check_orderable, order_rank, ordered_buckets
 from tablewarden.session import literal_rows
 
 # Parts of a column name that point at the label (label alignment check).
@@ -140,6 +140,8 @@ def out_of_order(
     large, each entity's sequence is cut at shared points of the order column,
     so that an entity with a third of all rows spreads over many tasks; the
     last time of a piece is handed on to the next piece of the entity.
+    Numbers, truth values, dates, times, text and bytes can give the order,
+    whatever the size; any other type is a TypeError.
     """
     narrow = (
         df.select(
@@ -149,6 +151,7 @@ def out_of_order(
         )
         .filter(F.col("_t").isNotNull() & F.col("_o").isNotNull())
     )
+    check_orderable(narrow, "_o")
     pieces = bucket_count(df.count(), rows_per_piece)
     keys = list(entity)
     names = [*keys, F.col("_o").alias("order_value"), F.col("_t").alias("event_time"), "previous_time"]
@@ -157,8 +160,7 @@ def out_of_order(
         seq = narrow.withColumn("previous_time", F.lag("_t").over(in_entity.orderBy("_o")))
         return seq.filter(F.col("_t") < F.col("previous_time")).select(*names)
 
-    is_text = isinstance(narrow.schema["_o"].dataType, T.StringType)
-    placed = narrow.withColumn("_at", text_rank(narrow, "_o") if is_text else F.col("_o"))
+    placed = narrow.withColumn("_at", order_rank(narrow, "_o"))
     buckets = ordered_buckets(placed, ["_at"], pieces)["_at"]
     cut = placed.withColumn("_piece", buckets.of(F.col("_at")))
     seq = cut.withColumn("_prev", F.lag("_t").over(Window.partitionBy(*keys, "_piece").orderBy("_o")))

@@ -263,16 +263,30 @@ def ordered_buckets(df: DataFrame, columns: Sequence[str], n_buckets: int) -> di
 def text_rank(df: DataFrame, column: str) -> Column:
     """A number that never falls where the text rises: six bytes after what all values begin with alike.
 
-    Lets text be cut into ordered buckets; equal numbers only mean one bucket.
+    Lets text and bytes be cut into ordered buckets; equal numbers only mean one bucket.
     """
-    c = F.col(f"`{column}`")
-    low, high = df.agg(F.min(c), F.max(c)).first()
-    low, high = (low or "").encode(), (high or "").encode()
+    c = F.col(f"`{column}`").cast("binary")
+    low, high = (bytes(x or b"") for x in df.agg(F.min(c), F.max(c)).first())
     alike = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-    digits = F.substring(F.hex(F.encode(c, "utf-8")), 2 * alike + 1, 12)
+    digits = F.substring(F.hex(c), 2 * alike + 1, 12)
     return F.conv(F.rpad(digits, 12, "0"), 16, 10).cast("long")
 
 
+def check_orderable(df: DataFrame, column: str) -> None:
+    """Refuse, at any size, a column by which rows can't be put in order in pieces."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, (*SKETCHED, T.StringType, T.BinaryType, T.BooleanType)):
+        raise TypeError(f"rows can't be put in order by a column of type {kind.simpleString()}")
+
+
+def order_rank(df: DataFrame, column: str) -> Column:
+    """What stands for an orderable column when it is cut into ordered buckets."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return text_rank(df, column)
+    return F.col(f"`{column}`").cast("int") if isinstance(kind, T.BooleanType) else F.col(f"`{column}`")
+
+
 def bucket_count(n_rows: int, rows_per_bucket: int, most: int = 4096) -> int:
     return max(1, min(most, math.ceil(n_rows / max(1, rows_per_bucket))))
 
@@ -285,6 +299,10 @@ def hash_token(key_id: Column, seed: int) -> Column:
     return F.concat(F.md5(F.concat(key_id, F.lit(f":{seed}"))), F.lit(":"), key_id)
 
 
+# Hex digits of a token's hash, and how many of them one counting pass takes at most (65,536 counts a stratum and rank).
+HASH_DIGITS, STEP_DIGITS = 32, 4
+
+
 def tokens_at_ranks(
     df: DataFrame,
     token: str,
@@ -293,59 +311,63 @@ def tokens_at_ranks(
     n_rows: int,
     *,
     direct_limit: int = DIRECT_LIMIT,
+    step_digits: int = STEP_DIGITS,
 ) -> dict[tuple[int, int], str]:
     """The token at each 1-based rank within each stratum.
 
     Hash tokens are uniform, so leading hex digits cut them into even, ordered
-    buckets.  Bucket counts (few rows) show which bucket holds a rank; only
-    that bucket's tokens, about n / 16**digits, are then ordered.
+    buckets.  Bucket counts (few rows) show which bucket holds a rank; a bucket
+    of more than ``direct_limit`` tokens is cut again on its next digits, until
+    it fits.  Only what is then left, about n / 16**digits, is ordered.  A key
+    so frequent that its whole hash is one large bucket is counted, not ordered.
     """
     wanted = {s: sorted({r for r in rs if r > 0}) for s, rs in ranks.items()}
     wanted = {s: rs for s, rs in wanted.items() if rs}
     if not wanted:
         return {}
-    digits = 0
-    while n_rows / 16**digits > direct_limit and digits < 5:
-        digits += 1
-    df = df.select(F.col(token).alias("t"), F.col(stratum).alias("s")).filter(
-        F.col("s").isin(list(wanted))
-    )
+    df = df.select(F.col(token).alias("t"), F.col(stratum).alias("s")).filter(F.col("s").isin(list(wanted)))
     targets = F.create_map(
         *[x for s, rs in wanted.items() for x in (F.lit(s), F.array(*[F.lit(r).cast("long") for r in rs]))]
     )
-    out: dict[tuple[int, int], str] = {}
-    if digits == 0:
-        by_token = Window.partitionBy("s").orderBy("t")
-        hits = (
-            df.withColumn("r", F.row_number().over(by_token).cast("long"))
-            .filter(F.array_contains(F.element_at(targets, F.col("s")), F.col("r")))
+    target = F.element_at(targets, F.col("s"))
+    # buckets that hold a wanted rank, with the number of the stratum's tokens before each
+    depth, spots, largest = 0, {(s, ""): 0 for s in wanted}, n_rows
+    inside, before = df, F.lit(0).cast("long")
+    while largest > direct_limit and depth < HASH_DIGITS:
+        step = 1
+        while largest / 16**step > direct_limit and step < min(step_digits, HASH_DIGITS - depth):
+            step += 1
+        bucket, finer = F.substring("t", 1, depth), F.substring("t", 1, depth + step)
+        counts = inside.groupBy("s", bucket.alias("b"), before.alias("ahead"), finer.alias("p")).agg(F.count("*").alias("n"))
+        # at most 16**step rows per bucket
+        upto = Window.partitionBy("s", "b").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+        located = (
+            counts.withColumn("upto", F.col("ahead") + F.sum("n").over(upto))
+            .withColumn("r", F.explode(target))
+            .filter((F.col("r") <= F.col("upto")) & (F.col("r") > F.col("upto") - F.col("n")))
+            .select("s", "p", "n", (F.col("upto") - F.col("n")).alias("before"))
             .collect()
         )
-        return {(h["s"], h["r"]): h["t"] for h in hits}
-
-    prefix = F.substring("t", 1, digits)
-    counts = df.groupBy("s", prefix.alias("p")).agg(F.count("*").alias("n"))
-    # at most 16**digits rows per stratum
-    upto = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-    located = (
-        counts.withColumn("upto", F.sum("n").over(upto))
-        .withColumn("r", F.explode(F.element_at(targets, F.col("s"))))
-        .filter((F.col("r") <= F.col("upto")) & (F.col("r") > F.col("upto") - F.col("n")))
-        .select("s", "p", "r", (F.col("upto") - F.col("n")).alias("before"))
-        .collect()
-    )
-    spots = sorted({(x["s"], x["p"], x["before"]) for x in located})
-    before = F.create_map(
-        *[x for s, p, b in spots for x in (F.lit(f"{s}/{p}"), F.lit(b).cast("long"))]
-    )
-    spot = F.concat_ws("/", F.col("s").cast("string"), prefix)
-    inside = df.filter(spot.isin([f"{s}/{p}" for s, p, _ in spots]))
-    in_bucket = Window.partitionBy("s", prefix).orderBy("t")
+        spots = {(x["s"], x["p"]): x["before"] for x in located}
+        if not spots:
+            return {}
+        largest, depth = max(x["n"] for x in located), depth + step
+        spot = F.concat_ws("/", F.col("s").cast("string"), finer)
+        names = F.create_map(*[x for (s, p), b in sorted(spots.items()) for x in (F.lit(f"{s}/{p}"), F.lit(b).cast("long"))])
+        inside, before = df.filter(spot.isin([f"{s}/{p}" for s, p in sorted(spots)])), F.element_at(names, spot)
+
+    in_bucket = Window.partitionBy("s", "b").orderBy("t")
+    if largest > direct_limit:
+        inside = inside.groupBy("s", "t").agg(F.count("*").alias("n"))
+        last = before + F.sum("n").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
+    else:
+        inside = inside.withColumn("n", F.lit(1).cast("long"))
+        last = before + F.row_number().over(in_bucket)
     hits = (
-        inside.withColumn("r", F.row_number().over(in_bucket) + F.element_at(before, spot))
-        .filter(F.array_contains(F.element_at(targets, F.col("s")), F.col("r")))
+        inside.withColumn("b", F.substring("t", 1, depth))
+        .withColumn("last", last)
+        .withColumn("r", F.explode(F.filter(target, lambda r: (r <= F.col("last")) & (r > F.col("last") - F.col("n")))))
+        .select("s", "r", "t")
         .collect()
     )
-    for h in hits:
-        out[(h["s"], int(h["r"]))] = h["t"]
-    return out
+    return {(h["s"], int(h["r"])): h["t"] for h in hits}
