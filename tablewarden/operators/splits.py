@@ -125,9 +125,10 @@ def known_label(df: DataFrame, label: str) -> Column:
 
 
 def _cut_of(stratum: Column, cuts: Mapping[int, str]) -> Column:
-    out = F.lit(None).cast("string")
+    # branches side by side: nested ones, up to a thousand deep, overflow the stack
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
     for s, cut in cuts.items():
-        out = F.when(stratum == s, F.lit(cut)).otherwise(out)
+        out = out.when(stratum == s, F.lit(cut))
     return out
 
 
