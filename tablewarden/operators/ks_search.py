@@ -8,19 +8,24 @@ are opened: large ones are cut again, and of the rest the values are ordered.
 
 from __future__ import annotations
 
-import bisect
 import math
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import accumulate
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.numbers import ratio
-from tablewarden.session import literal_rows
+from tablewarden.session import literal_rows, written
 
 CELLS = 1024
 PIECES = 16
+# cells that the driver holds at most: beyond, cells of more than ``rows_per_cell`` rows are ordered
+MOST_CELLS = 1 << 16
 PARTS = ("train", "val", "test")
 # keeps differences and products of doubles finite; a power of two, so that no order changes
 SCALE = 2.0**-14
@@ -52,10 +57,10 @@ def _by_part() -> list[Column]:
     return [F.count_if(F.col("part") == j).alias(p) for j, p in enumerate(PARTS)]
 
 
-def _cell_of(v: Column, lo: Column, hi: Column, n: int) -> Column:
+def _cell_of(v: Column, lo: Column, hi: Column, n: Column) -> Column:
     """Number 0 to n + 1 of the cell of ``v`` between ``lo`` and ``hi``; never falls where v rises."""
-    inside = F.coalesce(F.width_bucket(v * SCALE, lo * SCALE, hi * SCALE, F.lit(n).cast("long")), F.lit(1).cast("long"))
-    return F.when(v < lo, 0).when(v >= hi, n + 1).otherwise(F.greatest(F.lit(1), F.least(inside, F.lit(n)))).cast("int")
+    inside = F.coalesce(F.width_bucket(v * SCALE, lo * SCALE, hi * SCALE, n.cast("long")), F.lit(1).cast("long"))
+    return F.when(v < lo, 0).when(v >= hi, n + 1).otherwise(F.greatest(F.lit(1), F.least(inside, n))).cast("int")
 
 
 class KsSearch:
@@ -63,11 +68,15 @@ class KsSearch:
 
     ``totals``: rows per feature and part.  ``best``: the largest gap of train to val and to test at
     cell ends.  ``opened`` of ``rows`` values are left, in cells of at most ``rows_per_cell``
-    rows, which ``largest_gaps`` orders.
+    rows (or of one in MOST_CELLS of all rows, if that is more), which ``largest_gaps`` orders.
 
-    Every round is a scan with at most ``cells`` rows a feature as its result. It cuts a cell into
-    parts of one width or, if that left more than half of the rows together before, at
+    A value is a row (part, v, slot): slot is the number of the cell to cut next, or -1 - id of a cell to order.
+    Every round counts values per cell, with about ``cells`` rows a feature as its result (four per cell cut, where
+    these are many), and drops the values of closed cells. It cuts a cell into
+    parts of one width or, if that left more than three quarters of the rows together before, at
     quantiles from a sketch (one more scan), so that the rounds grow with the logarithm of the rows only.
+    Once at most half of the values are left, they are written to the shared folder and later rounds read those
+    alone, so that all rounds together read little more than the first.
     """
 
     def __init__(self, numbers: DataFrame, features: Sequence[str], rows_per_cell: int, cells: int = CELLS):
@@ -85,56 +94,49 @@ class KsSearch:
         self.features = [f for f in features if sum(self.totals[f])]
         self.best = {f: [0.0 if t and n else None for n in rest] for f in self.features for t, *rest in [self.totals[f]]}
         self.rows = sum(sum(self.totals[f]) for f in self.features)
-        # per feature and round: the cells to cut (by the numbers of the round before), and those left to order
-        self._cut: dict[str, list[list[_Cell]]] = {}
-        self._next: dict[str, list[list[int | None]]] = {f: [] for f in self.features}
-        self._left: dict[str, list[dict[int, _Cell]]] = {f: [] for f in self.features}
+        # the cells to cut next, with their features, and those left to order, by id
+        cut: list[tuple[str, _Cell]] = []
+        self._left: list[tuple[str, _Cell]] = []
+        wide = []
         for i, f in enumerate(features):
             if f in self.best:
                 lo, hi = row[f"lo{i}"], row[f"hi{i}"]
-                whole = _Cell(0.0 if lo is None else lo, 0.0 if hi is None else hi, (0, 0, 0), self.totals[f])
-                self._cut[f] = [[whole]]
-        depth = 0
-        while any(len(c) > depth for c in self._cut.values()):
-            self._round(depth, rows_per_cell)
-            depth += 1
-        for f in self.features:
-            self._left[f] = [{k: c for k, c in left.items() if self._may_beat(f, c)} for left in self._left[f]]
-        self.opened = sum(c.rows for f in self.features for left in self._left[f] for c in left.values())
-
-    def _fan(self, f: str, depth: int) -> int:
-        return max(2, self.cells // len(self._cut[f][depth]) - 2)
-
-    def _located(self, features: Sequence[str], depth: int) -> DataFrame:
-        """The numbers with ``k{round}_{i}``: the number of a value's cell in each round up to ``depth``, NULL where
-        it is not cut. A projection per round: one within the other, their expressions would multiply."""
-        df = self.numbers
-        for d in range(depth + 1):
-            cutting = [i for i, f in enumerate(self.names) if f in features and len(self._cut[f]) > d]
-            if d:
-                slots = {i: F.get(_array(self._next[self.names[i]][d - 1], "int"), F.col(f"k{d - 1}_{i}")) for i in cutting}
-                df = df.withColumns({f"s{d}_{i}": c for i, c in slots.items()})
-            keys = {}
-            for i in cutting:
-                cut, fan, v = self._cut[self.names[i]][d], self._fan(self.names[i], d), F.col(f"v{i}")
-                if d == 0:
-                    keys[f"k{d}_{i}"] = _cell_of(v, F.lit(cut[0].lo), F.lit(cut[0].hi), fan)
-                    continue
-                slot = F.col(f"s{d}_{i}")
-                lo, hi = (F.get(_array(x, "double"), slot) for x in ([c.lo for c in cut], [c.hi for c in cut]))
-                cell = _cell_of(v, lo, hi, fan)
-                if any(c.edges for c in cut):
-                    edges = F.get(F.array(*[_array(c.edges, "double") for c in cut]), slot)
-                    sketched = F.get(_array([int(bool(c.edges)) for c in cut], "int"), slot) == 1
-                    cell = F.when(sketched, F.size(F.filter(edges, lambda e: e <= v))).otherwise(cell)
-                keys[f"k{d}_{i}"] = F.when(slot.isNotNull(), slot * (fan + 2) + cell)
-            df = df.withColumns(keys)
-        return df
+                v = F.col(f"v{i}")
+                wide.append(F.when(v.isNotNull(), F.struct("part", v.alias("v"), F.lit(len(cut)).alias("slot"))).alias(str(i)))
+                cut.append((f, _Cell(0.0 if lo is None else lo, 0.0 if hi is None else hi, (0, 0, 0), self.totals[f])))
+        # values still to tell apart, and how many rows a scan of them reads
+        self._values, self._read = self._long(self.numbers.select(*wide)) if wide else None, self.rows
+        # so fewer than MOST_CELLS cells are cut in a round, however many rows there are
+        limit = max(rows_per_cell, self.rows // MOST_CELLS)
+        while cut:
+            cut = self._round(cut, limit)
+        self._open = [c if self._may_beat(f, c) else None for f, c in self._left]
+        self.opened = sum(c.rows for c in self._open if c)
+
+    def _fans(self, cut: Sequence[tuple[str, _Cell]]) -> list[int]:
+        n = Counter(f for f, _ in cut)
+        return [max(2, self.cells // n[f] - 2) for f, _ in cut]
 
     def _long(self, wide: DataFrame) -> DataFrame:
-        """A row per number from a struct per feature."""
+        """A row per struct that is not NULL. No filter is pushed below it: each round's expressions stay their own."""
         return wide.unpivot([], wide.columns, "_f", "_c").filter(F.col("_c").isNotNull()).select("_c.*")
 
+    def _numbered(self, cut: Sequence[tuple[str, _Cell]], fans: Sequence[int], starts: Sequence[int]) -> DataFrame:
+        """The values with ``k``: the number, through all cells cut, of the piece they lie in; NULL if they wait to be ordered."""
+        v, slot = F.col("v"), F.col("slot")
+        lo, hi = (F.get(_array(x, "double"), slot) for x in ([c.lo for _, c in cut], [c.hi for _, c in cut]))
+        cell = _cell_of(v, lo, hi, F.get(_array(fans, "int"), slot))
+        sketched = [i for i, (_, c) in enumerate(cut) if c.edges]
+        if sketched:
+            numbers, edges = dict(zip(sketched, range(len(sketched)))), []
+            for i in sketched:
+                own = cut[i][1].edges
+                edges += [*own, *[None] * (PIECES - len(own))]
+            flat, at = _array(edges, "double"), F.get(_array([numbers.get(i) for i in range(len(cut))], "int"), slot)
+            passed = [F.when(F.get(flat, at * PIECES + j) <= v, 1).otherwise(0) for j in range(PIECES)]
+            cell = F.when(at.isNotNull(), reduce(add, passed)).otherwise(cell)
+        return self._values.select("part", "v", "slot", (F.get(_array(starts, "int"), slot) + cell).alias("k"))
+
     def _may_beat(self, f: str, c: _Cell) -> bool:
         t0, t1, total = c.before[0], c.before[0] + c.n[0], self.totals[f]
         for i, best in enumerate(self.best[f]):
@@ -145,101 +147,77 @@ class KsSearch:
                 return c.lo < c.hi
         return False
 
-    def _sketch(self, depth: int) -> None:
+    def _sketch(self, cut: Sequence[tuple[str, _Cell]], fans: Sequence[int]) -> None:
         """Quantiles of the cells that cutting by width has not made smaller."""
-        hard = [f for f in self.features if len(self._cut[f]) > depth and any(c.stubborn for c in self._cut[f][depth])]
-        if not hard:
+        if not any(c.stubborn for _, c in cut):
             return
-        located = self._located(hard, depth - 1)
-        rows = []
-        for f in hard:
-            i = self.names.index(f)
-            slot = F.get(_array([s if s is not None and self._cut[f][depth][s].stubborn else None for s in self._next[f][depth - 1]], "int"), F.col(f"k{depth - 1}_{i}"))
-            rows.append(F.when(slot.isNotNull(), F.struct(F.lit(i).alias("f"), slot.alias("s"), F.col(f"v{i}").alias("v"))).alias(str(i)))
-        asked = self._long(located.select(*rows))
+        asked = F.get(_array([1 if c.stubborn else None for _, c in cut], "int"), F.col("slot"))
+        asked = self._long(self._values.select(F.when(asked.isNotNull(), F.struct("slot", "v")).alias("0")))
         shares = [j / PIECES for j in range(1, PIECES)]
-        for r in asked.groupBy("f", "s").agg(F.percentile_approx("v", shares, 1000).alias("edges")).collect():
-            f = self.names[r["f"]]
-            step = -(-PIECES // min(PIECES, self._fan(f, depth) + 2))
-            self._cut[f][depth][r["s"]].edges = tuple(dict.fromkeys(r["edges"][step - 1 :: step]))
-
-    def _round(self, depth: int, rows_per_cell: int) -> None:
-        self._sketch(depth)
-        active = [f for f in self.features if len(self._cut[f]) > depth]
-        # cells are numbered through all features
-        cells, starts, start = [], [], 0
-        for f in active:
-            i = self.names.index(f)
-            cells.append(F.struct("part", F.col(f"v{i}").alias("v"), (F.col(f"k{depth}_{i}") + start).alias("k")).alias(str(i)))
-            starts.append(start)
-            start += len(self._cut[f][depth]) * (self._fan(f, depth) + 2)
-        counted = (
-            self._long(self._located(active, depth).select(*cells))
-            .filter(F.col("v").isNotNull() & F.col("k").isNotNull())
-            .groupBy("k")
-            .agg(*_by_part(), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        )
-        found: dict[str, dict[int, object]] = {f: {} for f in active}
-        for r in counted.collect():  # at most ``cells`` rows a feature
-            at = bisect.bisect_right(starts, r["k"]) - 1
-            found[active[at]][r["k"] - starts[at]] = r
-        for f in active:
-            fan, cut, fresh = self._fan(f, depth), self._cut[f][depth], []
-            for slot, parent in enumerate(cut):
-                before = parent.before
-                for k in range(slot * (fan + 2), (slot + 1) * (fan + 2)):
-                    if (r := found[f].get(k)) is None:
-                        continue
-                    cell = _Cell(r["lo"], r["hi"], before, tuple(r[p] for p in PARTS))
-                    cell.stubborn = not parent.edges and 2 * cell.rows > parent.rows
-                    before = tuple(a + b for a, b in zip(before, cell.n))
-                    fresh.append((k, cell))
-                    for i, best in enumerate(self.best[f]):
-                        if best is not None:
-                            gap = abs(before[0] / self.totals[f][0] - before[i + 1] / self.totals[f][i + 1])
-                            self.best[f][i] = max(best, gap)
-            following: list[int | None] = [None] * (len(cut) * (fan + 2))
-            large, left = [], {}
-            for k, cell in fresh:
-                if not self._may_beat(f, cell):
+        for r in asked.groupBy("slot").agg(F.percentile_approx("v", shares, 1000).alias("edges")).collect():
+            step = -(-PIECES // min(PIECES, fans[r["slot"]] + 2))
+            cut[r["slot"]][1].edges = tuple(dict.fromkeys(r["edges"][step - 1 :: step]))
+
+    def _round(self, cut: list[tuple[str, _Cell]], rows_per_cell: int) -> list[tuple[str, _Cell]]:
+        """Cuts ``cut``; the cells to cut next."""
+        fans = self._fans(cut)
+        self._sketch(cut, fans)
+        starts = list(accumulate((n + 2 for n in fans), initial=0))
+        numbered = self._numbered(cut, fans, starts)
+        counted = numbered.groupBy("k").agg(*_by_part(), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        found = {r["k"]: r for r in counted.collect()}
+        fresh: list[tuple[int, str, _Cell]] = []
+        for slot, (f, parent) in enumerate(cut):
+            before = parent.before
+            for k in range(starts[slot], starts[slot + 1]):
+                if (r := found.get(k)) is None:
                     continue
-                if cell.rows <= rows_per_cell:
-                    left[k] = cell
-                else:
-                    following[k] = len(large)
-                    large.append(cell)
-            self._next[f].append(following)
-            self._left[f].append(left)
-            if large:
-                self._cut[f].append(large)
+                cell = _Cell(r["lo"], r["hi"], before, tuple(r[p] for p in PARTS))
+                cell.stubborn = not parent.edges and 4 * cell.rows > 3 * parent.rows
+                before = tuple(a + b for a, b in zip(before, cell.n))
+                fresh.append((k, f, cell))
+                for i, best in enumerate(self.best[f]):
+                    if best is not None:
+                        gap = abs(before[0] / self.totals[f][0] - before[i + 1] / self.totals[f][i + 1])
+                        self.best[f][i] = max(best, gap)
+        following: list[int | None] = [None] * starts[-1]
+        large = []
+        for k, f, cell in fresh:
+            if not self._may_beat(f, cell):
+                continue
+            if cell.rows <= rows_per_cell:
+                self._left.append((f, cell))
+                following[k] = -len(self._left)
+            else:
+                following[k] = len(large)
+                large.append((f, cell))
+        waits = [i if self._may_beat(f, c) else None for i, (f, c) in enumerate(self._left)]
+        slot = F.coalesce(F.get(_array(following, "int"), F.col("k")), -1 - F.get(_array(waits, "int"), -1 - F.col("slot")))
+        on = numbered.select("part", "v", slot.alias("slot"))
+        self._values = self._long(on.select(F.when(F.col("slot").isNotNull(), F.struct("part", "v", "slot")).alias("0")))
+        still = sum(c.rows for _, c in large) + sum(self._left[i][1].rows for i in waits if i is not None)
+        if large and 2 * still <= self._read:
+            self._values, self._read = written(self._values, "ks-search"), still
+        return large
 
     def largest_gaps(self) -> DataFrame:
         """(feature, d_val, d_test); a gap to a part without rows is NULL."""
         known = literal_rows(
             self.numbers.sparkSession, [(f, *self.best[f]) for f in self.features], "feature string, b_val double, b_test double"
         )
-        open_features = [f for f in self.features if any(self._left[f])]
-        if not open_features:
+        if not self.opened:
             return known.select("feature", F.col("b_val").alias("d_val"), F.col("b_test").alias("d_test"))
-        slots, owner, offsets = {}, [], []
-        for f in open_features:
-            i, found = self.names.index(f), []
-            for d, left in enumerate(self._left[f]):
-                if left:
-                    numbers: list[int | None] = [None] * (len(self._cut[f][d]) * (self._fan(f, d) + 2))
-                    for k, cell in left.items():
-                        numbers[k] = len(owner)
-                        owner.append(i)
-                        offsets.append(cell.before)
-                    found.append(F.get(_array(numbers, "int"), F.col(f"k{d}_{i}")))
-            slots[i] = F.coalesce(*found) if len(found) > 1 else found[0]
-        located = self._located(open_features, max(len(self._left[f]) for f in open_features) - 1)
-        located = located.select("part", *[f"v{i}" for i in slots], *[c.alias(f"slot{i}") for i, c in slots.items()])
-        rows = [
-            F.when(F.col(f"slot{i}").isNotNull(), F.struct("part", F.col(f"v{i}").alias("v"), F.col(f"slot{i}").alias("slot"))).alias(str(i))
-            for i in slots
-        ]
-        values = self._long(located.select(*rows)).filter("v is not null").groupBy("slot", "v").agg(*_by_part())
+        numbers: list[int | None] = []
+        owner, offsets = [], []
+        for (f, _), cell in zip(self._left, self._open):
+            numbers.append(len(owner) if cell else None)
+            if cell:
+                owner.append(self.names.index(f))
+                offsets.append(cell.before)
+        slot = F.get(_array(numbers, "int"), -1 - F.col("slot"))
+        located = self._values.select("part", "v", slot.alias("slot"))
+        located = located.select(F.when(F.col("slot").isNotNull(), F.struct("part", "v", "slot")).alias("0"))
+        values = self._long(located).groupBy("slot", "v").agg(*_by_part())
         run = Window.partitionBy("slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
         feature = F.get(_array(owner, "int"), F.col("slot"))
         share = {}
