@@ -349,6 +349,9 @@ def _tree_pairs(members: DataFrame, points: DataFrame, num: int, den: int) -> Da
     sizes = materialise(members.groupBy("mark").agg(F.count("*").alias("_n")).where(F.col("_n") > LEAF), "large")
     small = members.join(sizes, "mark", "left_anti").select("mark", "v", "label", "n", "point", "low")
     found = small.repartition("mark").sortWithinPartitions("mark").mapInArrow(_small_groups(num, den), PAIR)
+    once = [F.first(c).alias(c) for c in ("la", "lb", "most")]
+    if sizes.isEmpty():
+        return found.groupBy("a", "b").agg(*once)
 
     large = materialise(members.join(sizes.select("mark"), "mark").withColumn("one", F.lit(1)), "large-members")
     packed = running_sum(large, ["mark"], "n", ["v"], "one", "_at")
@@ -372,7 +375,7 @@ def _tree_pairs(members: DataFrame, points: DataFrame, num: int, den: int) -> Da
     sides = pairs.withColumn("leaf", F.explode(F.array_distinct(F.array("p", "q"))))
     met = sides.join(packed.select("mark", "leaf", "v", "label", "n", "point", "low"), ["mark", "leaf"])
     found = found.union(met.groupBy("mark", "p", "q").applyInArrow(_leaf_pair(num, den), PAIR))
-    return found.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("la", "lb", "most")])
+    return found.groupBy("a", "b").agg(*once)
 
 
 def _bound(a: str, b: str):
@@ -390,12 +393,6 @@ def _verified(pairs: DataFrame, own: DataFrame, k: int, num: int, den: int) -> D
 
 
 def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """See ``_labelled``; its bitmaps are freed."""
-    with scoped():
-        return _labelled(docs, shingle, similar_at, key, text)
-
-
-def _labelled(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(documents, classes): id, d, k, set size n and class v of every document; label (the
     component) and least id of every class. See ``near_duplicates``."""
     num, den = similar_at
@@ -416,9 +413,10 @@ def _labelled(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: s
     groups = marks.groupBy("mark").agg(F.min("v").alias("hub"), F.max("v").alias("_last"), F.count("*").alias("n"))
     groups = materialise(groups.where("hub <> _last").drop("_last"), "groups")
     # few marks are shared: a bitmap keeps most of the others out of the second shuffle
-    shared = some.select("v", "marks").mapInArrow(_listed_marks(bitmap(groups, "mark")), "v long, mark long")
-    met = salted_join(shared, groups.select("mark", "hub"), ["mark"], hot_keys(groups, ["mark"]), "v")
-    met = materialise(met.where("v <> hub").distinct(), "met")
+    with scoped():
+        shared = some.select("v", "marks").mapInArrow(_listed_marks(bitmap(groups, "mark")), "v long, mark long")
+        met = salted_join(shared, groups.select("mark", "hub"), ["mark"], hot_keys(groups, ["mark"]), "v")
+        met = materialise(met.where("v <> hub").distinct(), "met")
 
     points = classes.select("v", "n", "point")
     pairs = met.select("v", "hub").distinct().join(points, "v").join(
@@ -433,8 +431,11 @@ def _labelled(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: s
         )
     )
     fines = classes.where("fine is not null").select("v", "fine")
+    any_fine = not fines.isEmpty()
 
     def finer(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        if not any_fine:
+            return pairs
         for side, name in ((a, "fine"), (b, "fine_")):
             pairs = pairs.join(fines.select(F.col("v").alias(side), F.col("fine").alias(name)), side, "left")
         schema = T.StructType([f for f in pairs.schema.fields if f.name not in ("fine", "fine_")])
@@ -448,8 +449,12 @@ def _labelled(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: s
         texts = only_listed(rows, "k", bitmap(wanted, "k")).select("d", "k", "text").dropDuplicates(["d", "k"])
         return wanted.join(texts, ["d", "k"]).select("v", "text")
 
-    checked = _verified(pairs, texts_of(pairs, "v", "hub"), shingle, num, den)
-    links = materialise(checked.where("linked").select(F.col("v").alias("a"), F.col("hub").alias("b")), "links")
+    def linked(pairs: DataFrame) -> DataFrame:
+        with scoped():
+            checked = _verified(pairs, texts_of(pairs, "v", "hub"), shingle, num, den)
+            return materialise(checked.where("linked").select(F.col("v").alias("a"), F.col("hub").alias("b")), "links")
+
+    links = linked(pairs)
     labels = components(links)
 
     # every group's members are decided against its hub; what is left are pairs among the others
@@ -457,16 +462,17 @@ def _labelled(docs: DataFrame, shingle: int, similar_at: tuple[int, int], key: s
     labelled = materialise(met.select("mark", "v").join(labels, "v", "left").withColumn("label", label), "labelled")
     mixed = labelled.groupBy("mark").agg(F.min("label").alias("_l0"), F.max("label").alias("_l1"), F.count("*").alias("n"))
     mixed = materialise(mixed.where("_l0 <> _l1").select("mark", "n"), "mixed")
-    members = salted_join(labelled, mixed.select("mark"), ["mark"], hot_keys(mixed, ["mark"]), "v")
-    waiting = materialise(finer(_tree_pairs(members, points, num, den), "a", "b"), "waiting")
+    left = not mixed.isEmpty()
+    if left:
+        members = salted_join(labelled, mixed.select("mark"), ["mark"], hot_keys(mixed, ["mark"]), "v")
+        waiting = materialise(finer(_tree_pairs(members, points, num, den), "a", "b"), "waiting")
     most = FIRST_PAIRS
-    while not waiting.isEmpty():
+    while left and not waiting.isEmpty():
         # the likeliest pairs of any two components first: most of the others then need no check
         place = F.row_number().over(Window.partitionBy("la", "lb").orderBy(F.desc("most"), "a", "b"))
         ranked = materialise(waiting.withColumn("_at", place), "ranked")
         now = ranked.where(F.col("_at") <= most).select(F.col("a").alias("v"), F.col("b").alias("hub"))
-        checked = _verified(now, texts_of(now, "v", "hub"), shingle, num, den)
-        more = materialise(checked.where("linked").select(F.col("v").alias("a"), F.col("hub").alias("b")), "links")
+        more = linked(now)
         waiting = ranked.where(F.col("_at") > most).drop("_at", "la", "lb")
         if not more.isEmpty():
             links = materialise(links.union(more), "links")
