@@ -446,13 +446,15 @@ def labelled_classes(docs: DataFrame, shingle: int, similar_at: tuple[int, int],
 
     def texts_of(pairs: DataFrame, a: str, b: str) -> DataFrame:
         wanted = pairs.select(F.col(a).alias("v")).union(pairs.select(F.col(b).alias("v"))).distinct().join(needed, "v")
-        texts = only_listed(rows, "k", bitmap(wanted, "k")).select("d", "k", "text").dropDuplicates(["d", "k"])
-        return wanted.join(texts, ["d", "k"]).select("v", "text")
+        wanted = materialise(wanted, "wanted")
+        # both sides of a pair read the texts: written once, the documents are searched once, and the plans stay short
+        with scoped():
+            texts = only_listed(rows, "k", bitmap(wanted, "k")).select("d", "k", "text").dropDuplicates(["d", "k"])
+            return materialise(wanted.join(texts, ["d", "k"]).select("v", "text"), "texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        with scoped():
-            checked = _verified(pairs, texts_of(pairs, "v", "hub"), shingle, num, den)
-            return materialise(checked.where("linked").select(F.col("v").alias("a"), F.col("hub").alias("b")), "links")
+        checked = _verified(pairs, texts_of(pairs, "v", "hub"), shingle, num, den)
+        return materialise(checked.where("linked").select(F.col("v").alias("a"), F.col("hub").alias("b")), "links")
 
     links = linked(pairs)
     labels = components(links)

@@ -249,7 +249,7 @@ def fit(
     bounded = counted.orderBy("o", "h").limit(sample).drop("o", "h")
     first = bounded.coalesce(1).mapInArrow(_train(latent, neighbours), "name string, part int, body binary").orderBy("name", "part")
     bodies: dict[str, bytes] = {}
-    for r in first.toLocalIterator():
+    for r in first.collect():
         bodies[r["name"]] = bodies.get(r["name"], b"") + r["body"]
     if not bodies:
         return train(Terms(np.zeros(1, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.float32), np.zeros((0, SHAPES), np.float32)), np.zeros(0), latent, neighbours)
